@@ -46,7 +46,7 @@ def histogram(df: DataFrame, col: str, bins: int, range_: tuple[float, float] |
     lo, hi = _edges(lo, hi)
     counts = vals.groupBy(bin_index(F.col("v"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins
-    frame = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    frame = spark.range(bins, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
     frame = frame.select("bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width).alias("upper"))
     # an empty input has no bounds: no bins at all
     frame = frame.where(lo.isNotNull())
@@ -95,7 +95,12 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
     x = F.col("lo") + F.col("point") * F.col("step")
     z = (x - F.col("v")) / F.col("h")
     term = F.col("w") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
-    return pts.groupBy(*by, "point").agg(F.first(x).alias("x"), F.sum(term).alias("density"))
+    sums = pts.groupBy(*by, "point").agg(F.sum(term).alias("density"))
+    # every grid point is listed, 0 where no value reaches it
+    frame = st.where(F.col("h") > 0).select(*by, "lo", "step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    frame = frame.select(*by, "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"))
+    out = frame.join(sums, [*by, "point"], "left")
+    return out.select(*by, "point", "x", F.coalesce(F.col("density"), F.lit(0.0)).alias("density"))
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
