@@ -57,17 +57,17 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "index", partiti
     return out.withColumnRenamed("_before", name).drop("_total")
 
 
-def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
-                    rank_col: str = "rank", buckets: int = 64, tiebreak: list[Column] | None = None) -> DataFrame:
+def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, key: list[str],
+                    rank_col: str = "rank", buckets: int = 64) -> DataFrame:
     """Exact top-k rows per group in two rounds.
 
-    Round one keeps the top k inside (group, hash bucket of the tie-break
-    columns), so a large group is spread over many tasks; round two ranks the
-    at most ``buckets * k`` survivors per group. ``order`` plus ``tiebreak``
-    must be a total order for the result to be exact and deterministic.
+    ``key`` names columns unique within a group; they break ties (ascending)
+    and spread a group over ``buckets`` hash buckets. Round one keeps the top
+    k inside each (group, bucket), so a large group is split over many tasks;
+    round two ranks the at most ``buckets * k`` survivors per group.
     """
-    full = list(order) + list(tiebreak or [])
-    spread = F.pmod(F.xxhash64(*(tiebreak or order)), F.lit(buckets))
+    full = list(order) + [F.col(c).asc() for c in key]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets))
     local = Window.partitionBy(*group, "_bucket").orderBy(*full)
     cand = (df.withColumn("_bucket", spread)
               .withColumn("_r1", F.row_number().over(local))

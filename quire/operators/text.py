@@ -87,7 +87,7 @@ def top_keywords(df: DataFrame, text: str, stopwords: list[str], k: int = 20,
     counts = keyword_counts(df, text, stopwords, by)
     if not by:
         return counts.orderBy(F.col("count").desc(), F.col("word").asc()).limit(k)
-    return top_k_per_group(counts, by, [F.col("count").desc()], k, tiebreak=[F.col("word").asc()])
+    return top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
 
 
 def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200,
@@ -95,7 +95,7 @@ def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200,
     """Word-cloud weights: top ``k`` words per group, weight = count / top count."""
     by = list(by or [])
     counts = keyword_counts(df, text, stopwords, by)
-    top = top_k_per_group(counts, by, [F.col("count").desc()], k, tiebreak=[F.col("word").asc()])
+    top = top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
     from pyspark.sql import Window
     peak = F.max("count").over(Window.partitionBy(*by))  # over at most k rows per group
     return top.withColumn("weight", F.col("count") / peak)
