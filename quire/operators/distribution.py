@@ -44,7 +44,8 @@ def histogram(df: DataFrame, col: str, bins: int, range_: tuple[float, float] |
         b = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
         lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
     lo, hi = _edges(lo, hi)
-    counts = vals.groupBy(bin_index(F.col("v"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    binned = vals.select(bin_index(F.col("v"), lo, hi, bins).alias("bin"))
+    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins
     frame = spark.range(bins, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
     frame = frame.select("bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width).alias("upper"))
@@ -54,15 +55,19 @@ def histogram(df: DataFrame, col: str, bins: int, range_: tuple[float, float] |
         "bin", "lower", "upper", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 
 
-def grid_density(df: DataFrame, x: str, y: str, nx: int = 20, ny: int = 20) -> DataFrame:
+def grid_density(df: DataFrame, x: str, y: str, nx: int = 20, ny: int = 20, by: list[str] | None = None) -> DataFrame:
     """Counts per non-empty cell of an nx x ny grid over the x and y ranges -
-    a bounded stand-in for a scatter plot of every row."""
-    vals = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop(how="any")
+    a bounded stand-in for a scatter plot of every row (optionally per ``by``
+    group, e.g. cluster, on shared axes)."""
+    by = list(by or [])
+    vals = df.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop(
+        how="any", subset=["x", "y"])
     b = vals.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     x0, x1 = _edges(b.select("x0").scalar(), b.select("x1").scalar())
     y0, y1 = _edges(b.select("y0").scalar(), b.select("y1").scalar())
-    return vals.groupBy(bin_index(F.col("x"), x0, x1, nx).alias("x_bin"),
-                        bin_index(F.col("y"), y0, y1, ny).alias("y_bin")).agg(F.count(F.lit(1)).alias("count"))
+    binned = vals.select(*by, bin_index(F.col("x"), x0, x1, nx).alias("x_bin"),
+                         bin_index(F.col("y"), y0, y1, ny).alias("y_bin"))
+    return binned.groupBy(*by, "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
 
 
 def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
