@@ -231,3 +231,13 @@ def report_long_form(spark, sf):
 @query("report_schema")
 def report_schema(spark, sf):
     return report.schema_table(spark, fx.merged_fx(spark, sf))
+
+
+@query("stream_csv_ingest", """select doc_id, lang, source, text, score from docs_fx""")
+def stream_csv_ingest(spark, sf):
+    from quire.streaming import ingest_csv_stream
+    docs = fx.docs_fx(spark, sf).select(*DOC_COLS)
+    landing = write_csv(docs, scratch_path(spark, "landing"))
+    out = scratch_path(spark, "ingested")
+    ingest_csv_stream(spark, landing, docs.schema, out)
+    return spark.read.schema(docs.schema).parquet(out)
