@@ -61,7 +61,7 @@ def normalize_text(text) -> Column:
 def tokens(text, normalize: bool = True) -> Column:
     """Array of white-space separated words (no empty strings)."""
     t = normalize_text(text) if normalize else _col(text)
-    return F.filter(F.split(t, SPLIT_PATTERN), lambda w: w != "")
+    return F.array_remove(F.split(t, SPLIT_PATTERN), "")
 
 
 def year_to_date(year) -> Column:

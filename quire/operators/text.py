@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quire.functions.scalar import tokens
 from quire.operators.ranking import top_k_per_group
 
-# A lexicon up to this many words travels to the tasks inside the plan (a
-# scalar subquery holding a map); a larger one is joined instead.
-MAX_MAP_LEXICON = 200_000
+# A lexicon up to this many words is shipped to the tasks (broadcast) and
+# looked up per batch; a larger one is joined instead.
+MAX_BROADCAST_LEXICON = 2_000_000
 
 
 def default_stopwords() -> list[str]:
@@ -20,27 +21,61 @@ def default_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _mean(arr: Column) -> Column:
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(arr) > 0, total / F.size(arr)).otherwise(F.lit(0.0))
+def _arrow_polarity(lex_bc, text: str, out: str):
+    """Per-partition function: Arrow batches in, same batches + polarity out.
+
+    Normalise, split, hash-look-up every word in the lexicon (``index_in``),
+    then per-row mean of the hits via ``bincount`` over the list parents -
+    vectorised, one pass, no per-word Python.
+    """
+    from quire.functions.scalar import KEEP_PATTERN, SPLIT_PATTERN
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        words, pols = lex_bc.value
+        value_set = pa.array(words, pa.string())
+        pol = np.asarray(pols, dtype="float64")
+        for b in batches:
+            col = b.column(b.schema.get_field_index(text))
+            norm = pc.replace_substring_regex(pc.utf8_lower(col), KEEP_PATTERN, "")
+            toks = pc.split_pattern_regex(norm, SPLIT_PATTERN)
+            idx = pc.index_in(pc.list_flatten(toks), value_set=value_set)
+            ok = pc.is_valid(idx)
+            hit = pc.filter(idx, ok).to_numpy(zero_copy_only=False)
+            row = pc.filter(pc.list_parent_indices(toks), ok).to_numpy(zero_copy_only=False)
+            n = b.num_rows
+            total = np.bincount(row, weights=pol[hit], minlength=n)
+            count = np.bincount(row, minlength=n)
+            mean = np.where(count > 0, total / np.maximum(count, 1), 0.0)
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(mean, pa.float64())],
+                                             names=list(b.schema.names) + [out])
+    return run
 
 
 def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = None,
-             out: str = "polarity", max_map_entries: int = MAX_MAP_LEXICON) -> DataFrame:
+             out: str = "polarity", max_broadcast: int = MAX_BROADCAST_LEXICON) -> DataFrame:
     """Mean lexicon polarity of the words of ``text`` (0 when no word is known).
 
     ``lexicon`` has columns (word, polarity); repeated words are averaged.
-    Small lexicons become a map looked up per word inside the row - no
-    shuffle of the texts. Above ``max_map_entries`` (checked by counting the
-    lexicon) the words are exploded and joined, which needs a unique ``key``.
+    Texts are normalised like :func:`quire.functions.scalar.tokens`.
+
+    Up to ``max_broadcast`` words (checked with a count) the lexicon is
+    broadcast and each partition's Arrow batches are scored in place: the
+    texts are never shuffled and each word is one hash probe. (Spark's map
+    lookup inside ``transform`` scans the map linearly per word, and an
+    explode + join needs a shuffle to bring the score back to the text.)
+    Above the limit the words are exploded and joined, which needs a unique
+    ``key`` column.
     """
+    spark = df.sparkSession
     lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
-    if lex.count() <= max_map_entries:
-        m = lex.select(F.map_from_entries(F.collect_list(F.struct("word", "polarity")))).scalar()
-        staged = df.withColumn("_lex", m)
-        hits = F.filter(F.transform(tokens(text), lambda w: F.try_element_at(F.col("_lex"), w)),
-                        lambda p: p.isNotNull())
-        return staged.withColumn(out, _mean(hits)).drop("_lex")
+    if lex.count() <= max_broadcast:
+        rows = lex.collect()  # bounded by the check above
+        bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [float(r["polarity"]) for r in rows]))
+        schema = StructType(df.schema.fields + [StructField(out, DoubleType(), False)])
+        return df.mapInArrow(_arrow_polarity(bc, text, out), schema)
     if key is None:
         raise ValueError("a lexicon this large needs a unique key column for the join path")
     words = df.select(key, F.explode(tokens(text)).alias("word"))
@@ -64,19 +99,14 @@ def distribution(df: DataFrame, label: str = "sentiment") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
 
 
-def content_words(text: str, stopwords: list[str]) -> Column:
-    """Normalised tokens minus stop words (stop test after punctuation removal)."""
-    stops = F.array(*[F.lit(w) for w in sorted(set(stopwords))]) if stopwords else None
-    toks = tokens(text)
-    if stops is None:
-        return toks
-    return F.filter(toks, lambda w: ~F.array_contains(stops, w))
-
-
 def keyword_counts(df: DataFrame, text: str, stopwords: list[str], by: list[str] | None = None) -> DataFrame:
-    """(by..., word, count) over all texts; partial counts are combined map-side."""
+    """(by..., word, count) over all texts. Stop words are tested after
+    punctuation removal (a hash-set ``IN``); partial counts are combined
+    map-side before the shuffle."""
     by = list(by or [])
-    words = df.select(*by, F.explode(content_words(text, stopwords)).alias("word"))
+    words = df.select(*by, F.explode(tokens(text)).alias("word"))
+    if stopwords:
+        words = words.where(~F.col("word").isin(*sorted(set(stopwords))))
     return words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("count"))
 
 
