@@ -71,8 +71,8 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = Non
     """
     spark = df.sparkSession
     lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
-    if lex.count() <= max_broadcast:
-        rows = lex.collect()  # bounded by the check above
+    rows = lex.limit(max_broadcast + 1).collect()  # never more than max_broadcast + 1 rows
+    if len(rows) <= max_broadcast:
         bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [float(r["polarity"]) for r in rows]))
         schema = StructType(df.schema.fields + [StructField(out, DoubleType(), False)])
         return df.mapInArrow(_arrow_polarity(bc, text, out), schema)
