@@ -166,3 +166,15 @@ def corr_matrix(spark, sf):
 where ratings_count is not null and score is not null""")
 def popularity_vs_score(spark, sf):
     return rounded(stats.corr_pair(fx.merged_fx(spark, sf), "ratings_count", "score"), ["r"])
+
+
+@query("monthly_volume_from_year", W + """, per as (
+  select make_date(review_year, 1, 1) as d, count(score) as n from ana where review_year is not null group by 1),
+cal as (select unnest(generate_series(min(d), max(d), interval 1 month)) as period from per)
+select cast(cal.period as timestamp) as period, coalesce(per.n, 0) as count from cal left join per on cal.period = per.d""")
+def monthly_volume_from_year(spark, sf):
+    """Monthly volume when only the year is known (each year's reviews fall on
+    1 January, the other months are 0) - the year-precision input case."""
+    from quire.functions.scalar import year_to_date
+    a = analysis_frame(spark, sf).withColumn("review_date", year_to_date("review_year").cast("timestamp_ntz"))
+    return timeseries.resample(a, "review_date", "month", value="score")

@@ -294,3 +294,17 @@ def cold_start_pairs(spark, sf):
     r = r.select("review_id", "user_id", "item_id")
     train, test = sampling.split(r, [0.8, 0.2], TRAIN_SEED, key="review_id")
     return recommend.cold_start_pairs(train, test, "user_id", "item_id")
+
+
+@query("model_metrics")
+def model_metrics(spark, sf):
+    """Evaluation results of the three supervised models as (model, metric, value) rows."""
+    from quire.operators import report
+    reg = regression_rmse_r2(spark, sf).first()
+    acc = sentiment_model_accuracy(spark, sf).first()
+    als_r = als_rmse(spark, sf).first()
+    return report.combine(
+        report.metrics(spark, "score_regression", {"rmse": reg["rmse"], "r2": reg["r2"]}),
+        report.metrics(spark, "sentiment_classifier", {"accuracy": acc["accuracy"]}),
+        report.metrics(spark, "als", {"rmse": als_r["rmse"]}),
+    )
