@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -28,6 +28,13 @@ def resample(df: DataFrame, ts: str, unit: str = "month", value: str | None = No
     else:
         counted = F.count(value)
     per = df.where(F.col(ts).isNotNull()).groupBy(trunc.alias("period")).agg(counted.alias(name))
-    span = per.agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
-    cal = span.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {_STEP[unit]}"))).alias("period"))
-    return cal.join(per, "period", "left").select("period", F.coalesce(F.col(name), F.lit(0)).alias(name))
+    # Gaps are filled from the aggregated periods alone (a bounded table, one
+    # row per period): each period emits itself and the empty periods up to
+    # the next one. The raw rows are scanned once and no join is needed.
+    step = F.expr(f"interval {_STEP[unit]}")
+    nxt = F.lead("period").over(Window.orderBy("period"))
+    last = F.coalesce(nxt - step, F.col("period"))
+    spans = per.select("period", name, last.alias("_last"))
+    filled = spans.select(F.posexplode(F.sequence("period", "_last", step)).alias("pos", "p"), name)
+    return filled.select(F.col("p").alias("period"),
+                         F.when(F.col("pos") == 0, F.col(name)).otherwise(F.lit(0)).cast("bigint").alias(name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import reshape, stats, timeseries, topk
+from quire.operators.layout import cache
 from quire.plans.frames import ANALYSIS_SQL, analysis_frame
 from quire.plans.params import TOP_RATED_MIN, YEARS
 from quire.plans.registry import query, rnd, rounded
@@ -100,11 +101,12 @@ select categories_s as categories, review_year, count(score) as review_count
 from ana where categories_s in (select categories_s from top where categories_s is not null)
 group by categories_s, review_year""")
 def trend_top_categories(spark, sf):
-    a = analysis_frame(spark, sf)
-    top = stats.count_by(a, "categories").orderBy(F.col("review_count").desc(),
-                                                   F.col("categories").asc_nulls_first()).limit(10)
-    kept = a.join(F.broadcast(top.select("categories")), "categories", "left_semi")  # at most 10 rows
-    return stats.count_by(kept, ["categories", "review_year"])
+    # One pass: count per (category, year), then rank categories by their
+    # summed counts on that small table and keep the top 10 (semi-join, <= 10 rows).
+    trend = cache(stats.count_by(analysis_frame(spark, sf), ["categories", "review_year"]), materialize=False)
+    top = (trend.groupBy("categories").agg(F.sum("review_count").alias("total"))
+                .orderBy(F.col("total").desc(), F.col("categories").asc_nulls_first()).limit(10))
+    return trend.join(F.broadcast(top.select("categories")), "categories", "left_semi")
 
 
 @query("monthly_volume", """with per as (
