@@ -91,7 +91,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
     if by:
         j = vc.join(st, by)  # one row per group on the right
     else:
-        j = vc.select("*", *[st.select(c).scalar().alias(c) for c in ("n", "sd", "lo", "hi", "h", "step")])
+        one = {c: st.select(c).scalar() for c in ("n", "sd", "lo", "hi", "h", "step")}  # merged into one subquery
+        j = vc.select("*", *[v.alias(c) for c, v in one.items()])
     j = j.where(F.col("h") > 0)
     reach = F.lit(KERNEL_REACH) * F.col("h")
     first = F.greatest(F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")), F.lit(0)).cast("int")
@@ -102,7 +103,12 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
     term = F.col("w") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
     sums = pts.groupBy(*by, "point").agg(F.sum(term).alias("density"))
     # every grid point is listed, 0 where no value reaches it
-    frame = st.where(F.col("h") > 0).select(*by, "lo", "step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    if by:
+        frame = st.where(F.col("h") > 0).select(*by, "lo", "step",
+                                                 F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    else:
+        frame = df.sparkSession.range(grid, numPartitions=1).select(
+            one["lo"].alias("lo"), one["step"].alias("step"), F.col("id").cast("int").alias("point")).where(one["h"] > 0)
     frame = frame.select(*by, "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"))
     out = frame.join(sums, [*by, "point"], "left")
     return out.select(*by, "point", "x", F.coalesce(F.col("density"), F.lit(0.0)).alias("density"))

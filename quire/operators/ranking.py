@@ -59,18 +59,24 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "index", partiti
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, key: list[str],
                     rank_col: str = "rank", buckets: int = 64) -> DataFrame:
-    """Exact top-k rows per group in two rounds.
+    """Exact top-k rows per group; ``key`` names columns unique within a group
+    that break ties (ascending).
 
-    ``key`` names columns unique within a group; they break ties (ascending)
-    and spread a group over ``buckets`` hash buckets. Round one keeps the top
-    k inside each (group, bucket), so a large group is split over many tasks;
-    round two ranks the at most ``buckets * k`` survivors per group.
+    For k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` one window
+    suffices: Spark plans a partial per-partition limit before the shuffle, so
+    each task sends at most k rows per group and a group holding a third of
+    all rows costs nothing extra. Beyond that threshold the limit is done in
+    two explicit rounds: top k inside (group, hash bucket of key), then top k
+    of the at most ``buckets * k`` survivors.
     """
     full = list(order) + [F.col(c).asc() for c in key]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets))
-    local = Window.partitionBy(*group, "_bucket").orderBy(*full)
-    cand = (df.withColumn("_bucket", spread)
-              .withColumn("_r1", F.row_number().over(local))
-              .where(F.col("_r1") <= k).drop("_r1", "_bucket"))
     final = Window.partitionBy(*group).orderBy(*full)
-    return cand.withColumn(rank_col, F.row_number().over(final)).where(F.col(rank_col) <= k)
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    src = df
+    if k > threshold:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets))
+        local = Window.partitionBy(*group, "_bucket").orderBy(*full)
+        src = (df.withColumn("_bucket", spread)
+                 .withColumn("_r1", F.row_number().over(local))
+                 .where(F.col("_r1") <= k).drop("_r1", "_bucket"))
+    return src.withColumn(rank_col, F.row_number().over(final)).where(F.col(rank_col) <= k)
