@@ -34,8 +34,15 @@ def weighted_positions(df: DataFrame, order: list[Column], weight: str | None =
     staged = (df.withColumn("_wt", w_col)
                 .repartitionByRange(p, *order)
                 .withColumn("_pid", F.spark_partition_id()))
-    run = Window.partitionBy("_pid", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    staged = pin(staged.withColumn("_local", F.coalesce(F.sum("_wt").over(run), F.lit(0)).cast("bigint")))
+    if weight is None and not within:
+        # Row positions: sort inside each range partition; the generated id is
+        # (partition << 33) + position in partition, so no further shuffle.
+        staged = staged.sortWithinPartitions(*order).withColumn(
+            "_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    else:
+        run = Window.partitionBy("_pid", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        staged = staged.withColumn("_local", F.coalesce(F.sum("_wt").over(run), F.lit(0)).cast("bigint"))
+    staged = pin(staged)
     parts = staged.groupBy("_pid", *within).agg(F.sum("_wt").alias("_part"))
     grp = Window.partitionBy(*within)
     parts = parts.select(

@@ -32,6 +32,19 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """One of the driver tables ``<sf_dir>/<name>.parquet``."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns)
+    """One of the driver tables ``<sf_dir>/<name>.parquet``.
+
+    The scan is resolved once per session and folder (file listing and footer
+    schema), like a registered view; DataFrames are immutable, so sharing the
+    resolved scan is safe. Column selection stays per call and prunes the read.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df.select(*columns) if columns else df

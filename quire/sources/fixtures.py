@@ -9,6 +9,8 @@ in :mod:`quire.plans.fixture_sql` for the DuckDB oracle; both must agree.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,20 @@ def _null() -> Column:
     return F.lit(None)
 
 
+def _view(fn):
+    """Build each view once per session and folder (a plan, not data)."""
+    built: dict[tuple[int, str], DataFrame] = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in built:
+            built[key] = fn(spark, sf_dir)
+        return built[key]
+    return wrapper
+
+
+@_view
 def reviews_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per line item: user = customer of the order, item = part."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
@@ -39,6 +55,7 @@ def reviews_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def books_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item table: list-valued text, nulls, bad counts, outliers; 10 % of items missing."""
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
@@ -57,6 +74,7 @@ def books_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def merged_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left join of reviews to items plus the safe casts of score and ratings count."""
     r = reviews_fx(spark, sf_dir)
@@ -70,6 +88,7 @@ def merged_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review texts with a score where a label exists (null text every 43rd doc)."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "text"])
@@ -84,12 +103,14 @@ def docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def dup_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrow projection of reviews with many full-row copies."""
     r = reviews_fx(spark, sf_dir)
     return r.select((F.col("user_id") % 50).alias("user_id"), (F.col("item_id") % 100).alias("item_id"), "score_raw")
 
 
+@_view
 def gap_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with every fifth day removed, NaN and null values."""
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
