@@ -230,7 +230,7 @@ def report_long_form(spark, sf):
 
 @query("report_schema")
 def report_schema(spark, sf):
-    return report.schema_table(spark, fx.merged_fx(spark, sf))
+    return report.schema_table(spark, fx.merged_fx(spark, sf), with_nulls=True)
 
 
 @query("stream_csv_ingest", """select doc_id, lang, source, text, score from docs_fx""")
