@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.scalar import safe_cast as _safe_cast
-from quire.operators.quantile import quantiles_wide
+from quire.operators.quantile import quantiles_long, quantiles_wide
 
 
 def drop_existing(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -82,11 +82,25 @@ def upper_cap(df: DataFrame, col: str, p: float = 0.99) -> DataFrame:
     return quantiles_wide(df, col, {"cap": p}, method="linear")
 
 
-def cap_upper(df: DataFrame, col: str, p: float = 0.99) -> DataFrame:
-    """Replace values above the interpolated p-quantile by it; result double."""
-    cap = upper_cap(df, col, p).select("cap").scalar()
-    c = F.col(col).cast("double")
-    return df.withColumn(col, F.when(c > cap, cap).otherwise(c))
+def upper_caps(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
+    """One row, one column per name: the interpolated p-quantile of each
+    column, all from one grouped pass (columns unpivoted to (column, value))."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column", "value")
+    q = quantiles_long(long, "value", [p], method="linear", by=["column"])
+    return q.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in cols])
+
+
+def cap_upper(df: DataFrame, cols: str | list[str], p: float = 0.99) -> DataFrame:
+    """Replace values above the interpolated p-quantile by it, per column; result double."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    caps = upper_caps(df, cols, p)
+    out = {}
+    for c in cols:
+        cap = caps.select(c).scalar()
+        v = F.col(c).cast("double")
+        out[c] = F.when(v > cap, cap).otherwise(v)
+    return df.withColumns(out)
 
 
 def dedupe(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

@@ -110,8 +110,7 @@ from u, c""")
 def features_cap_p99(spark, sf):
     uf = stats.user_features(fx.merged_fx(spark, sf))
     uf = clean.clip(uf, "avg_review_score", 0.0, 5.0)
-    uf = clean.cap_upper(uf, "num_reviews", 0.99)
-    uf = clean.cap_upper(uf, "avg_review_length", 0.99)
+    uf = clean.cap_upper(uf, ["num_reviews", "avg_review_length"], 0.99)
     return rounded(uf, ["avg_review_score", "num_reviews", "avg_review_length"])
 
 
@@ -121,10 +120,10 @@ select round(quantile_cont(cast(num_reviews as double), 0.99), 6) as num_reviews
   round(quantile_cont(avg_review_length, 0.99), 6) as avg_review_length_cap from u""")
 def features_caps(spark, sf):
     uf = stats.user_features(fx.merged_fx(spark, sf))
-    a = clean.upper_cap(uf, "num_reviews", 0.99).withColumnRenamed("cap", "num_reviews_cap")
-    b = clean.upper_cap(uf, "avg_review_length", 0.99).withColumnRenamed("cap", "avg_review_length_cap")
-    return rounded(a.select("*", b.select("avg_review_length_cap").scalar().alias("avg_review_length_cap")),
-                   ["num_reviews_cap", "avg_review_length_cap"])
+    caps = clean.upper_caps(uf, ["num_reviews", "avg_review_length"], 0.99)
+    caps = caps.select(F.col("num_reviews").alias("num_reviews_cap"),
+                       F.col("avg_review_length").alias("avg_review_length_cap"))
+    return rounded(caps, ["num_reviews_cap", "avg_review_length_cap"])
 
 
 @query("clean_dedupe", """select distinct user_id, item_id, score_raw from dup_fx""")
