@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 _STEP = {"day": "1 day", "week": "7 days", "month": "1 month", "year": "1 year"}
 
 
+def period_start(ts: Column, unit: str) -> Column:
+    """Start of the day / week (Monday) / month / year of a local time, as
+    TIMESTAMP_NTZ, computed on the wall clock without the session zone."""
+    d = ts.cast("timestamp_ntz").cast("date")
+    if unit == "day":
+        start = d
+    elif unit == "week":
+        start = F.date_sub(d, (F.dayofweek(d) + 5) % 7)
+    elif unit == "month":
+        start = F.make_date(F.year(d), F.month(d), F.lit(1))
+    elif unit == "year":
+        start = F.make_date(F.year(d), F.lit(1), F.lit(1))
+    else:
+        raise ValueError(f"unit must be one of {sorted(_STEP)}")
+    return start.cast("timestamp_ntz")
+
+
 def resample(df: DataFrame, ts: str, unit: str = "month", value: str | None = None,
              name: str = "count") -> DataFrame:
     """Count per calendar period (non-missing ``value``, or rows), every period
@@ -19,8 +36,7 @@ def resample(df: DataFrame, ts: str, unit: str = "month", value: str | None = No
     """
     if unit not in _STEP:
         raise ValueError(f"unit must be one of {sorted(_STEP)}")
-    t = F.col(ts).cast("timestamp_ntz")
-    trunc = F.date_trunc("week" if unit == "week" else unit, t).cast("timestamp_ntz")
+    trunc = period_start(F.col(ts), unit)
     if value is None:
         counted = F.count(F.lit(1))
     elif isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
