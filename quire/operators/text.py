@@ -3,11 +3,11 @@ labels, keyword counts, per-class top keywords and word-cloud weights."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quire.functions.scalar import tokens
+from quire.functions.scalar import KEEP_PATTERN, SPLIT_PATTERN, tokens
 from quire.operators.ranking import top_k_per_group
 
 # A lexicon up to this many words is shipped to the tasks (broadcast) and
@@ -28,8 +28,6 @@ def _arrow_polarity(lex_bc, text: str, out: str):
     then per-row mean of the hits via ``bincount`` over the list parents -
     vectorised, one pass, no per-word Python.
     """
-    from quire.functions.scalar import KEEP_PATTERN, SPLIT_PATTERN
-
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -126,6 +124,5 @@ def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200,
     by = list(by or [])
     counts = keyword_counts(df, text, stopwords, by)
     top = top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
-    from pyspark.sql import Window
     peak = F.max("count").over(Window.partitionBy(*by))  # over at most k rows per group
     return top.withColumn("weight", F.col("count") / peak)
