@@ -197,3 +197,13 @@ def test_item_stats_having(spark):
     s = stats.item_stats(df)
     assert {r["item_id"]: r["review_count"] for r in s.collect()} == {1: 3, 2: 1}
     assert [r["item_id"] for r in stats.top_rated(s, min_count=1).collect()] == [1]
+
+
+def test_csv_strict_quotes_keep_columns(spark, tmp_path):
+    from quire.sources import read_csv
+    path = tmp_path / "q.csv"
+    path.write_text('id,text,n\n1,"say ""hi"", then\nnew line",5\n2,plain,6\n')
+    strict = read_csv(spark, str(path), schema="id int, text string, n int").orderBy("id").collect()
+    assert [r["n"] for r in strict] == [5, 6] and strict[0]["text"] == 'say "hi", then\nnew line'
+    raw = read_csv(spark, str(path), schema="id int, text string, n int", strict_quotes=False).collect()
+    assert len(raw) != 2 or [r["n"] for r in raw] != [5, 6]  # the plain reader splits or shifts the row
