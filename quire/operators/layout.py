@@ -24,7 +24,12 @@ def pin(df: DataFrame) -> DataFrame:
     loss, unlike a local checkpoint.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: the checkpoint write then reads the computed blocks
+    # instead of recomputing the whole input a second time.
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
