@@ -39,6 +39,7 @@ def main() -> None:
     for n in names:
         best = None
         for _ in range(repeat):  # each run builds and executes the query from scratch
+            spark.catalog.clearCache()  # no run may reuse data cached by an earlier one
             t0 = time.perf_counter()
             QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
             dt = time.perf_counter() - t0
