@@ -21,7 +21,7 @@ def default_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _arrow_polarity(lex_bc, text: str, out: str):
+def _arrow_polarity(lex_bc, text: str, out: str, keep_text: bool = True):
     """Per-partition function: Arrow batches in, same batches + polarity out.
 
     Normalise, split, hash-look-up every word in the lexicon (``index_in``),
@@ -47,13 +47,15 @@ def _arrow_polarity(lex_bc, text: str, out: str):
             total = np.bincount(row, weights=pol[hit], minlength=n)
             count = np.bincount(row, minlength=n)
             mean = np.where(count > 0, total / np.maximum(count, 1), 0.0)
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(mean, pa.float64())],
-                                             names=list(b.schema.names) + [out])
+            names = [n for n in b.schema.names if keep_text or n != text]
+            cols = [b.column(b.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(mean, pa.float64())], names=names + [out])
     return run
 
 
 def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = None,
-             out: str = "polarity", max_broadcast: int = MAX_BROADCAST_LEXICON) -> DataFrame:
+             out: str = "polarity", max_broadcast: int = MAX_BROADCAST_LEXICON,
+             keep_text: bool = True) -> DataFrame:
     """Mean lexicon polarity of the words of ``text`` (0 when no word is known).
 
     ``lexicon`` has columns (word, polarity); repeated words are averaged.
@@ -65,20 +67,23 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = Non
     lookup inside ``transform`` scans the map linearly per word, and an
     explode + join needs a shuffle to bring the score back to the text.)
     Above the limit the words are exploded and joined, which needs a unique
-    ``key`` column.
+    ``key`` column. ``keep_text=False`` leaves the text out of the result
+    (less data back from the Arrow workers when only the score is needed).
     """
     spark = df.sparkSession
     lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
     rows = lex.limit(max_broadcast + 1).collect()  # never more than max_broadcast + 1 rows
     if len(rows) <= max_broadcast:
         bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [float(r["polarity"]) for r in rows]))
-        schema = StructType(df.schema.fields + [StructField(out, DoubleType(), False)])
-        return df.mapInArrow(_arrow_polarity(bc, text, out), schema)
+        fields = [f for f in df.schema.fields if keep_text or f.name != text]
+        schema = StructType(fields + [StructField(out, DoubleType(), False)])
+        return df.mapInArrow(_arrow_polarity(bc, text, out, keep_text), schema)
     if key is None:
         raise ValueError("a lexicon this large needs a unique key column for the join path")
     words = df.select(key, F.explode(tokens(text)).alias("word"))
     per = words.join(lex, "word").groupBy(key).agg(F.avg("polarity").alias(out))
-    return df.join(per, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    scored = df.join(per, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    return scored if keep_text else scored.drop(text)
 
 
 def sentiment_label(score: str | Column = "polarity", pos: float = 0.1, neg: float = -0.1) -> Column:

@@ -14,9 +14,9 @@ def _lexicon(spark):
     return spark.createDataFrame(LEXICON, "word string, polarity double")
 
 
-def _classified(spark, sf):
+def _classified(spark, sf, keep_text: bool = True):
     docs = fx.docs_fx(spark, sf).where(F.col("text").isNotNull()).select("doc_id", "text")
-    return text.classify(docs, "text", _lexicon(spark), key="doc_id")
+    return text.classify(docs, "text", _lexicon(spark), key="doc_id", keep_text=keep_text)
 
 
 def _tok(col: str = "text") -> str:
@@ -38,12 +38,12 @@ lab as (select doc_id, polarity, case when polarity > 0.1 then 'Positive' when p
 
 @query("sentiment_label", _POLARITY_SQL + "\nselect doc_id, round(polarity, 6) as polarity, sentiment from lab")
 def sentiment_label(spark, sf):
-    return rounded(_classified(spark, sf).select("doc_id", "polarity", "sentiment"), ["polarity"])
+    return rounded(_classified(spark, sf, keep_text=False).select("doc_id", "polarity", "sentiment"), ["polarity"])
 
 
 @query("sentiment_distribution", _POLARITY_SQL + "\nselect sentiment, count(*) as count from lab group by sentiment")
 def sentiment_distribution(spark, sf):
-    return text.distribution(_classified(spark, sf), "sentiment")
+    return text.distribution(_classified(spark, sf, keep_text=False), "sentiment")
 
 
 _WORDS_SQL = f"""with d as (select doc_id, text from docs_fx where text is not null),
