@@ -66,6 +66,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def session_key(spark: SparkSession) -> tuple[int, str]:
+    """Identity of a live session: the object plus its SparkContext's application
+    id (a stopped and recreated context never matches an old key)."""
+    return id(spark), spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from quire.session import session_key
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              strict_quotes: bool = True, header: bool = True) -> DataFrame:
@@ -32,7 +34,7 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -43,7 +45,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     resolved scan is safe. Column selection stays per call and prunes the read.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)

@@ -14,6 +14,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.session import session_key
 from quire.sources.files import read_table
 
 
@@ -23,11 +24,11 @@ def _null() -> Column:
 
 def _view(fn):
     """Build each view once per session and folder (a plan, not data)."""
-    built: dict[tuple[int, str], DataFrame] = {}
+    built: dict[tuple, DataFrame] = {}
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (session_key(spark), sf_dir.rstrip("/"))
         if key not in built:
             built[key] = fn(spark, sf_dir)
         return built[key]
