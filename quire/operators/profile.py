@@ -48,12 +48,16 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = None) -> DataFrame:
-    """Long form (column, count, mean, stddev, min, p25, p50, p75, max) with
-    exact discrete quantiles; numeric columns, null and NaN ignored.
+def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = None,
+            exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Long form (column, count, mean, stddev, min, p25, p50, p75, max); numeric
+    columns, null and NaN ignored.
 
     The columns are unpivoted to (column, value), so every statistic is one
-    grouped aggregation keyed by the column name.
+    grouped aggregation keyed by the column name. ``exact`` gives discrete
+    quantiles taken from the data; ``exact=False`` uses Spark's approximate
+    percentile (as ``DataFrame.summary`` does): one pass, a bounded sketch per
+    column, rank error at most n / ``accuracy``.
     """
     probs = probs or {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
@@ -62,6 +66,13 @@ def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = Non
     basic = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
                                        F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"),
                                        F.max("value").alias("max"))
+    if not exact:
+        approx = F.percentile_approx("value", list(probs.values()), accuracy)
+        out = long.groupBy("column").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+            F.min("value").alias("min"), F.max("value").alias("max"), approx.alias("_q"))
+        out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)]).drop("_q")
+        return out.select("column", "count", "mean", "stddev", "min", *probs.keys(), "max")
     q = quantiles_long(long, "value", list(probs.values()), method="disc", by=["column"])
     qw = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("value"))).alias(n)
                                    for n, p in probs.items()])

@@ -187,6 +187,12 @@ def profile_summary(spark, sf):
     return rounded(profile.summary(fx.merged_fx(spark, sf), _SUM_COLS), ["mean", "stddev"])
 
 
+@query("profile_summary_approx")
+def profile_summary_approx(spark, sf):
+    """Same table with approximate percentiles (one pass, bounded sketches)."""
+    return profile.summary(fx.merged_fx(spark, sf), _SUM_COLS, exact=False)
+
+
 @query("profile_row_count", """select (select count(*) from reviews_fx) as reviews,
   (select count(*) from books_fx) as books, (select count(*) from merged_fx) as merged,
   (select count(*) from docs_fx) as docs""")

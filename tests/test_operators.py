@@ -216,3 +216,14 @@ def test_csv_to_parquet_roundtrip(spark, tmp_path):
     out = csv_to_parquet(spark, src, str(tmp_path / "out"), schema=df.schema, partitions=1)
     back = spark.read.parquet(out).orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, 'a "q", b\nc', 2.5), (2, None, None)]
+
+
+def test_summary_approx_close_to_exact(spark):
+    rows = [(float(i % 97), float(i % 13)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    ex = {r["column"]: r for r in profile.summary(df, ["a", "b"]).collect()}
+    ap = {r["column"]: r for r in profile.summary(df, ["a", "b"], exact=False).collect()}
+    for c in ("a", "b"):
+        assert ex[c]["count"] == ap[c]["count"] and ex[c]["min"] == ap[c]["min"] and ex[c]["max"] == ap[c]["max"]
+        for q in ("p25", "p50", "p75"):
+            assert abs(ex[c][q] - ap[c][q]) <= 1.0
