@@ -113,3 +113,52 @@ def dedupe_report(df: DataFrame) -> DataFrame:
     row = F.struct(*[F.col(c) for c in df.columns])
     agg = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_distinct(row).alias("rows_after"))
     return agg.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
+
+
+# Default texts for missing fields of the item and review tables.
+ITEM_DEFAULTS = {
+    "description": "No Description Available",
+    "authors": "Unknown Author",
+    "image": "https://example.com/default_image.jpg",
+    "previewLink": "No Preview Available",
+    "publisher": "Unknown Publisher",
+    "publishedDate": "Unknown Date",
+    "infoLink": "No Info Available",
+    "categories": "Uncategorized",
+}
+REVIEW_DEFAULTS = {
+    "profileName": "Anonymous",
+    "review/summary": "No Summary Provided",
+    "review/text": "No Review Available",
+}
+
+
+def clean_items(df: DataFrame, key: str = "Title", count_col: str = "ratingsCount",
+                defaults: dict[str, object] | None = None, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+    """Item table cleaning in one lazy plan: safe int cast of the count, drop
+    rows without a key, fill missing fields (count -> 0), clamp the count to
+    its exact lo/hi quantiles (double), drop identical rows."""
+    fills = dict(ITEM_DEFAULTS if defaults is None else defaults)
+    fills = {c: v for c, v in fills.items() if c in df.columns}
+    out = safe_cast(df, {count_col: "int"})
+    out = require(out, [key])
+    out = fill(out, {**fills, count_col: 0})
+    out = winsorize(out, count_col, lo, hi)
+    return dedupe(out)
+
+
+def clean_reviews(df: DataFrame, keys: list[str] | None = None, drop: list[str] | None = None,
+                  time_col: str | None = "review/time", zone: str = "UTC",
+                  defaults: dict[str, object] | None = None) -> DataFrame:
+    """Review table cleaning: drop unwanted columns if present, add the review
+    time as text (``<time_col>_text``), drop rows missing a key, fill missing
+    texts, drop identical rows."""
+    from quire.functions.scalar import unix_to_text
+    keys = keys if keys is not None else ["Title", "User_id"]
+    out = drop_existing(df, drop if drop is not None else ["Price", "review/helpfulness"])
+    if time_col and time_col in out.columns:
+        out = out.withColumn(f"{time_col}_text", unix_to_text(F.col(time_col).try_cast("bigint"), zone))
+    out = require(out, keys)
+    fills = dict(REVIEW_DEFAULTS if defaults is None else defaults)
+    out = fill(out, {c: v for c, v in fills.items() if c in out.columns})
+    return dedupe(out)

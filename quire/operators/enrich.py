@@ -28,3 +28,21 @@ def match_report(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
                 F.count(F.when(F.col("_m").isNull(), F.lit(1))).alias("unmatched_rows"),
                 F.sum(F.coalesce(F.col("_m"), F.lit(1))).cast("bigint").alias("output_rows"))
     return agg.select("*", dups.select("dup_keys").scalar().alias("dup_keys"))
+
+
+def merged_features(reviews: DataFrame, items: DataFrame, on: str, score: str, count: str,
+                    time_col: str | None = None, text: str | None = None, drop: list[str] | None = None,
+                    zone: str = "UTC") -> DataFrame:
+    """Left-join reviews to items and derive the analysis columns: score and
+    count as double (unparsable -> null), ``review_year`` from the Unix time,
+    ``review_length`` as the single-space word count of ``text``."""
+    from quire.functions.scalar import unix_to_timestamp, word_count
+    m = merge(reviews, items, on, "left")
+    m = m.withColumns({score: F.col(score).try_cast("double"), count: F.col(count).try_cast("double")})
+    if time_col:
+        m = m.withColumn("review_year", F.year(unix_to_timestamp(F.col(time_col).try_cast("bigint"), zone)).cast("int"))
+    if text:
+        m = m.withColumn("review_length", word_count(text))
+    if drop:  # after deriving, so a source column may be dropped
+        m = m.drop(*[c for c in drop if c in m.columns])
+    return m

@@ -246,3 +246,35 @@ def stream_csv_ingest(spark, sf):
     out = scratch_path(spark, "ingested")
     ingest_csv_stream(spark, landing, docs.schema, out)
     return spark.read.schema(docs.schema).parquet(out)
+
+
+@query("clean_items_fx", """with b as (select item_id, title, coalesce(authors, 'Unknown Author') as authors,
+  coalesce(categories, 'Uncategorized') as categories, coalesce(try_cast(ratings_raw as int), 0) as ratings_raw
+  from books_fx where title is not null),
+q as (select quantile_disc(ratings_raw, 0.01) as lo, quantile_disc(ratings_raw, 0.99) as hi from b)
+select distinct item_id, title, authors, categories,
+  cast(case when ratings_raw < lo then lo when ratings_raw > hi then hi else ratings_raw end as double) as ratings_raw
+from b, q""")
+def clean_items_fx(spark, sf):
+    return clean.clean_items(fx.books_fx(spark, sf), key="title", count_col="ratings_raw")
+
+
+@query("clean_reviews_fx", """select distinct review_id, user_id, item_id, coalesce(score_raw, 'No Score') as score_raw,
+  review_time, review_length, strftime(make_timestamp(review_time * 1000000), '%Y-%m-%d %H:%M:%S') as review_time_text
+from reviews_fx where item_id is not null and user_id is not null""")
+def clean_reviews_fx(spark, sf):
+    return clean.clean_reviews(fx.reviews_fx(spark, sf), keys=["item_id", "user_id"], drop=["review_ts", "Price"],
+                               time_col="review_time", defaults={"score_raw": "No Score"})
+
+
+@query("merged_features_fx", """select r.review_id, r.item_id, b.title, try_cast(r.score_raw as double) as score_raw,
+  cast(try_cast(b.ratings_raw as int) as double) as ratings_raw,
+  cast(year(make_timestamp(r.review_time * 1000000)) as integer) as review_year
+from reviews_fx r left join books_fx b on r.item_id = b.item_id""")
+def merged_features_fx(spark, sf):
+    from quire.operators import enrich
+    r = fx.reviews_fx(spark, sf).select("review_id", "item_id", "score_raw", "review_time")
+    b = fx.books_fx(spark, sf).select("item_id", "title", F.col("ratings_raw").try_cast("int").alias("ratings_raw"))
+    m = enrich.merged_features(r, b, "item_id", score="score_raw", count="ratings_raw", time_col="review_time",
+                               drop=["review_time"])
+    return m.select("review_id", "item_id", "title", "score_raw", "ratings_raw", "review_year")

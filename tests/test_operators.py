@@ -227,3 +227,20 @@ def test_summary_approx_close_to_exact(spark):
         assert ex[c]["count"] == ap[c]["count"] and ex[c]["min"] == ap[c]["min"] and ex[c]["max"] == ap[c]["max"]
         for q in ("p25", "p50", "p75"):
             assert abs(ex[c][q] - ap[c][q]) <= 1.0
+
+
+def test_composed_cleaning_with_original_column_names(spark):
+    items = spark.createDataFrame(
+        [("A", None, "['X']", "5"), ("A", None, "['X']", "5"), (None, "d", None, "7"), ("B", "d", None, "A&C Black")],
+        "Title string, description string, authors string, ratingsCount string")
+    out = {r["Title"]: r for r in clean.clean_items(items).collect()}
+    assert set(out) == {"A", "B"}  # null title dropped, duplicate row removed
+    assert out["A"]["description"] == "No Description Available" and out["B"]["authors"] == "Unknown Author"
+    assert out["B"]["ratingsCount"] == 0.0 and out["A"]["ratingsCount"] == 5.0
+    reviews = spark.createDataFrame(
+        [("t", "u", None, "3", 946684800, None), ("t", "u", None, "3", 946684800, None), ("t", None, "p", "1", 0, "x")],
+        "Title string, User_id string, profileName string, Price string, `review/time` long, `review/text` string")
+    r = clean.clean_reviews(reviews).collect()
+    assert len(r) == 1 and "Price" not in r[0].asDict()
+    assert r[0]["profileName"] == "Anonymous" and r[0]["review/text"] == "No Review Available"
+    assert r[0]["review/time_text"] == "2000-01-01 00:00:00"
