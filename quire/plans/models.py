@@ -122,6 +122,15 @@ def pca_cluster_grid(spark, sf):
     return distribution.grid_density(both, "PC1", "PC2", 20, 20, by=["cluster"])
 
 
+@query("pca_cluster_table")
+def pca_cluster_table(spark, sf):
+    """(user_id, PC1, PC2, cluster): the points behind the cluster scatter."""
+    users = _users(spark, sf)
+    _, seg = cluster.segment(users, FEAT, "user_id", k=4, seed=TRAIN_SEED)
+    _, scores = cluster.pca(users, FEAT, "user_id", k=2)
+    return scores.select("user_id", "PC1", "PC2").join(seg.select("user_id", "cluster"), "user_id")
+
+
 @query("pca_review_metrics")
 def pca_review_metrics(spark, sf):
     cols = ["score", "ratings_count", "review_length"]

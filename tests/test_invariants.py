@@ -67,3 +67,9 @@ def test_random_sampling_sizes(spark):
 def test_report_schema(spark):
     sch = Q["report_schema"](spark, SF_SMALL).toPandas()
     assert sch["column"].tolist()[:3] == ["review_id", "user_id", "item_id"]
+
+
+def test_pca_cluster_table(spark):
+    t = Q["pca_cluster_table"](spark, SF_SMALL).toPandas()
+    users = Q["user_features"](spark, SF_SMALL).count()
+    assert len(t) == users and set(t["cluster"]) <= {0, 1, 2, 3} and t["user_id"].is_unique

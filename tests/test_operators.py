@@ -244,3 +244,27 @@ def test_composed_cleaning_with_original_column_names(spark):
     assert len(r) == 1 and "Price" not in r[0].asDict()
     assert r[0]["profileName"] == "Anonymous" and r[0]["review/text"] == "No Review Available"
     assert r[0]["review/time_text"] == "2000-01-01 00:00:00"
+
+
+def test_readme_flow(spark, tmp_path):
+    from quire.sources import read_csv
+    (tmp_path / "books.csv").write_text(
+        'Title,description,authors,image,previewLink,publisher,publishedDate,infoLink,categories,ratingsCount\n'
+        'Alpha,"A ""fine"" book",[\'Ann\'],,,,,,[\'Fiction\'],12\n'
+        'Beta,,,,,,,,,\n')
+    (tmp_path / "reviews.csv").write_text(
+        'Id,Title,Price,User_id,profileName,review/helpfulness,review/score,review/time,review/summary,review/text\n'
+        '1,Alpha,,u1,P,1/1,5.0,946684800,ok,"good book, really good"\n'
+        '2,Alpha,,u2,,0/1,4.0,946684800,,bad\n'
+        '3,Beta,,u1,,,1.0,978307200,,\n')
+    books = clean.clean_items(read_csv(spark, str(tmp_path / "books.csv")))
+    reviews = clean.clean_reviews(read_csv(spark, str(tmp_path / "reviews.csv")))
+    merged = enrich.merged_features(reviews, books, "Title", score="review/score", count="ratingsCount",
+                                    time_col="review/time", text="review/text")
+    top = stats.top_rated(stats.item_stats(merged, "Title", "review/score"), "Title", min_count=1).collect()
+    assert [(r["Title"], r["review_count"], r["avg_review_score"]) for r in top] == [("Alpha", 2, 4.5)]
+    lex = spark.createDataFrame([("good", 0.5), ("bad", -0.5)], "word string, polarity double")
+    lab = {r["Id"]: r["sentiment"] for r in text.classify(merged, "review/text", lex).collect()}
+    assert lab == {1: "Positive", 2: "Negative", 3: "Neutral"}
+    years = {r["Id"]: r["review_year"] for r in merged.collect()}
+    assert years == {1: 2000, 2: 2000, 3: 2001}
