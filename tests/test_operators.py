@@ -268,3 +268,45 @@ def test_readme_flow(spark, tmp_path):
     assert lab == {1: "Positive", 2: "Negative", 3: "Neutral"}
     years = {r["Id"]: r["review_year"] for r in merged.collect()}
     assert years == {1: 2000, 2: 2000, 3: 2001}
+
+
+def test_top_k_bucketed_path_matches_single_window(spark):
+    rnd = random.Random(11)
+    rows = [(f"k{i}", rnd.choice("aab"), rnd.randint(0, 40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "key string, grp string, n long")
+    want = ranking.top_k_per_group(df, ["grp"], [F.col("n").desc()], 7, key=["key"]).toPandas()
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    try:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")  # force the two-round path
+        got = ranking.top_k_per_group(df, ["grp"], [F.col("n").desc()], 7, key=["key"], buckets=5).toPandas()
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+    key = ["grp", "rank"]
+    assert got.sort_values(key).reset_index(drop=True).equals(want.sort_values(key).reset_index(drop=True))
+
+
+def test_resample_week_and_year(spark):
+    rows = [("2024-01-03 10:00:00",), ("2024-01-08 00:00:00",), ("2024-01-29 23:59:59",), ("2026-06-01 00:00:00",)]
+    df = spark.createDataFrame(rows, "ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    wk = timeseries.resample(df, "ts", "week").where("period < '2024-02-05'").orderBy("period").toPandas()
+    assert [str(p)[:10] for p in wk["period"]] == ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22",
+                                                    "2024-01-29"]
+    assert list(wk["count"]) == [1, 1, 0, 0, 1]
+    yr = timeseries.resample(df, "ts", "year").orderBy("period").toPandas()
+    assert list(yr["count"]) == [3, 0, 1]
+
+
+def test_histogram_with_range(spark):
+    df = spark.createDataFrame([(v,) for v in [-5.0, 0.0, 0.5, 1.0, 2.0, 9.0]], "v double")
+    h = distribution.histogram(df, "v", 2, range_=(0.0, 2.0)).orderBy("bin").toPandas()
+    assert list(h["count"]) == [2, 2] and list(h["lower"]) == [0.0, 1.0]
+
+
+def test_polarity_join_path_without_text(spark):
+    docs = spark.createDataFrame([(1, "good day"), (2, "bad")], "id long, text string")
+    lex = spark.createDataFrame([("good", 1.0), ("bad", -1.0)], "word string, polarity double")
+    out = text.polarity(docs, "text", lex, key="id", max_broadcast=0, keep_text=False)
+    assert out.columns == ["id", "polarity"]
+    assert {r["id"]: r["polarity"] for r in out.collect()} == {1: 1.0, 2: -1.0}
+    arrow = text.polarity(docs, "text", lex, keep_text=False)
+    assert arrow.columns == ["id", "polarity"]
