@@ -1,9 +1,9 @@
 """Exact quantiles, distributed.
 
 Values are first collapsed to (value, multiplicity) with a map-side
-combine, then ranked with :func:`weighted_positions`; the rows whose rank
-range covers a target rank are the answer. No task ever holds a whole
-column or a whole group.
+combine and range-partitioned; partition totals locate the partitions that
+hold the target ranks, and only those are ranked row by row. No task ever
+holds a whole column or a whole group.
 
 Definitions (n = count of non-null, non-NaN values, v sorted ascending,
 0-based):
@@ -14,48 +14,75 @@ Definitions (n = count of non-null, non-NaN values, v sorted ascending,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.ranking import weighted_positions
+from quire.operators.layout import pin
+from quire.operators.ranking import _partitions
 
 
 def quantiles_long(df: DataFrame, value: str, probs: list[float], method: str = "disc",
                    by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Rows (by..., p, value): one per group and probability."""
+    """Rows (by..., p, value): one per group and probability.
+
+    Steps: collapse to (value, multiplicity); range-partition and pin (so the
+    partition ids are fixed); per-partition totals (a small table) give each
+    partition's rank offset and locate the partitions that hold a target
+    rank; only those partitions are ranked row by row. So the row-level
+    window touches at most (targets x rows per partition) rows, not the column.
+    """
     if method not in ("disc", "linear"):
         raise ValueError("method must be 'disc' or 'linear'")
     by = list(by or [])
     v = F.col(value).cast("double")
     base = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     vc = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    ranked = weighted_positions(vc, [F.col(b) for b in by] + [F.col("_v")], weight="_w",
-                                within=by, partitions=partitions)
+    p_count = _partitions(vc, partitions)
+    order = [F.col(b) for b in by] + [F.col("_v")]
+    staged = pin(vc.repartitionByRange(p_count, *order).withColumn("_pid", F.spark_partition_id()))
+
+    # per (partition, group): size, offset of its first rank, group total
+    parts = staged.groupBy("_pid", *by).agg(F.sum("_w").alias("_part"))
+    grp = Window.partitionBy(*by)
+    parts = parts.select(
+        "_pid", *by, "_part",
+        F.coalesce(F.sum("_part").over(grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_part").over(grp).alias("_total"))
+
     n = F.col("_total").cast("double")
     targets = []
     for p in probs:
         pl = F.lit(float(p))
         if method == "disc":
-            idx = F.greatest(F.ceil(pl * n) - 1, F.lit(0)).cast("bigint")
-            targets.append(F.struct(pl.alias("p"), F.lit("x").alias("kind"), idx.alias("idx"), F.lit(0.0).alias("frac")))
+            targets.append(F.struct(pl.alias("p"), F.lit("x").alias("kind"),
+                                    F.greatest(F.ceil(pl * n) - 1, F.lit(0)).cast("bigint").alias("idx"),
+                                    F.lit(0.0).alias("frac")))
         else:
             h = (n - 1) * pl
-            targets.append(F.struct(pl.alias("p"), F.lit("lo").alias("kind"), F.floor(h).cast("bigint").alias("idx"),
-                                    (h - F.floor(h)).alias("frac")))
-            targets.append(F.struct(pl.alias("p"), F.lit("hi").alias("kind"), F.ceil(h).cast("bigint").alias("idx"),
-                                    (h - F.floor(h)).alias("frac")))
-    hits = F.filter(F.array(*targets),
-                    lambda t: (t["idx"] >= F.col("_before")) & (t["idx"] < F.col("_before") + F.col("_w")))
-    picked = ranked.select(*by, "_v", F.explode(hits).alias("t")).select(*by, "_v", "t.*")
+            for kind, idx in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+                targets.append(F.struct(pl.alias("p"), F.lit(kind).alias("kind"), idx.cast("bigint").alias("idx"),
+                                        (h - F.floor(h)).alias("frac")))
+    inside = F.filter(F.array(*targets),
+                      lambda t: (t["idx"] >= F.col("_off")) & (t["idx"] < F.col("_off") + F.col("_part")))
+    tgt = (parts.select("_pid", *by, "_off", F.explode(inside).alias("t"))
+                .select("_pid", *by, "t.p", "t.kind", "t.frac", (F.col("t.idx") - F.col("_off")).alias("_lidx")))
+    chunks = tgt.select("_pid", *by).distinct()
+    if not by:  # at most 2 x len(probs) rows
+        tgt, chunks = F.broadcast(tgt), F.broadcast(chunks)
+
+    rows = staged.join(chunks, ["_pid", *by])
+    run = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_local", F.coalesce(F.sum("_w").over(run), F.lit(0)))
+    picked = rows.join(tgt, ["_pid", *by]).where(
+        (F.col("_lidx") >= F.col("_local")) & (F.col("_lidx") < F.col("_local") + F.col("_w")))
     if method == "disc":
-        out = picked.groupBy(*by, "p").agg(F.min("_v").alias("value"))
-    else:
-        agg = picked.groupBy(*by, "p").agg(
-            F.min(F.when(F.col("kind") == "lo", F.col("_v"))).alias("_lo"),
-            F.min(F.when(F.col("kind") == "hi", F.col("_v"))).alias("_hi"),
-            F.first("frac").alias("_frac"))
-        out = agg.select(*by, "p", (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
-    return out
+        return picked.groupBy(*by, "p").agg(F.min("_v").alias("value"))
+    agg = picked.groupBy(*by, "p").agg(
+        F.min(F.when(F.col("kind") == "lo", F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("kind") == "hi", F.col("_v"))).alias("_hi"),
+        F.first("frac").alias("_frac"))
+    return agg.select(*by, "p", (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
 
 
 def quantiles_wide(df: DataFrame, value: str, probs: dict[str, float], method: str = "disc",
