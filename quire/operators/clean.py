@@ -63,12 +63,11 @@ def _clamp(c: Column, lower: Column, upper: Column) -> Column:
 def winsorize(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Clamp ``col`` to its exact lo/hi quantiles; result double, null stays null.
 
-    The two bounds reach the rows as scalar subqueries (one small job,
-    broadcast as literals), so no join is needed.
+    The two bounds (one row) are fetched once and enter the plan as literals:
+    no join, and later plans that nest this one do not re-run the quantile.
     """
-    b = quantile_bounds(df, col, lo, hi)
-    lower = b.select("lower").scalar()
-    upper = b.select("upper").scalar()
+    b = quantile_bounds(df, col, lo, hi).first()  # one row
+    lower, upper = (F.lit(b[k]).cast("double") for k in ("lower", "upper"))
     return df.withColumn(col, _clamp(F.col(col).cast("double"), lower, upper))
 
 
@@ -94,10 +93,10 @@ def upper_caps(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
 def cap_upper(df: DataFrame, cols: str | list[str], p: float = 0.99) -> DataFrame:
     """Replace values above the interpolated p-quantile by it, per column; result double."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    caps = upper_caps(df, cols, p)
+    caps = upper_caps(df, cols, p).first()  # one row, fetched once; enters the plan as literals
     out = {}
     for c in cols:
-        cap = caps.select(c).scalar()
+        cap = F.lit(caps[c]).cast("double")
         v = F.col(c).cast("double")
         out[c] = F.when(v > cap, cap).otherwise(v)
     return df.withColumns(out)

@@ -180,3 +180,15 @@ def monthly_volume_from_year(spark, sf):
     from quire.functions.scalar import year_to_date
     a = analysis_frame(spark, sf).withColumn("review_date", year_to_date("review_year").cast("timestamp_ntz"))
     return timeseries.resample(a, "review_date", "month", value="score")
+
+
+@query("top_authors", W + """select authors_s as authors, count(*) as count from ana where authors_s is not null
+group by authors_s order by count desc, authors asc limit 10""")
+def top_authors(spark, sf):
+    return topk.frequent(analysis_frame(spark, sf), "authors", 10, nulls="drop")
+
+
+@query("top_titles", """select title, count(*) as count from merged_fx where title is not null
+group by title order by count desc, title asc limit 10""")
+def top_titles(spark, sf):
+    return topk.frequent(fx.merged_fx(spark, sf), "title", 10, nulls="drop")

@@ -95,3 +95,17 @@ select least(cast(floor((x - x0) / (x1 - x0) * 20) as integer), 19) as x_bin,
 from v, e group by 1, 2""")
 def popularity_score_grid(spark, sf):
     return distribution.grid_density(fx.merged_fx(spark, sf), "ratings_count", "score", 20, 20)
+
+
+_CAPPED = """(select case when u.avg_review_length > c.cap then c.cap else u.avg_review_length end as avg_review_length
+  from (select user_id, avg(review_length) as avg_review_length from merged_fx group by user_id) u,
+       (select quantile_cont(avg_review_length, 0.99) as cap from
+          (select user_id, avg(review_length) as avg_review_length from merged_fx group by user_id)) c) uc"""
+
+
+@query("hist_capped_length", _hist_sql(_CAPPED, "avg_review_length", 30))
+def hist_capped_length(spark, sf):
+    """Post-capping check: average review length per user, capped at its p99, in 30 bins."""
+    from quire.operators import clean
+    uf = clean.cap_upper(stats.user_features(fx.merged_fx(spark, sf)), "avg_review_length", 0.99)
+    return rounded(distribution.histogram(uf, "avg_review_length", 30), ["lower", "upper"])
