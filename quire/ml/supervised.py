@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.scalar import tokens
 from quire.ml.features import assemble
+from quire.operators.layout import cache
 
 
 def text_features_stages(text: str, num_features: int = 10000):
@@ -49,12 +50,18 @@ def accuracy_table(predictions: DataFrame, label: str = "label", prediction: str
 
 def idf_weights(df: DataFrame, text: str) -> DataFrame:
     """(word, doc_freq, idf) with idf = ln((docs + 1) / (doc_freq + 1)), Spark ML's formula,
-    per word (no hashing)."""
+    per word (no hashing).
+
+    The texts are read once: every document also contributes the empty
+    string (never a token), whose document frequency is the document count.
+    The vocabulary-sized aggregate is cached so both uses share it.
+    """
     docs = df.where(F.col(text).isNotNull())
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    words = docs.select(F.explode(F.array_distinct(tokens(text))).alias("word"))
-    dfreq = words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return dfreq.withColumn("idf", F.log((n + 1) / (F.col("doc_freq") + 1)))
+    marked = F.array_union(F.array_distinct(tokens(text)), F.array(F.lit("")))
+    words = docs.select(F.explode(marked).alias("word"))
+    dfreq = cache(words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq")), materialize=False)
+    n = dfreq.where(F.col("word") == "").select("doc_freq").scalar()
+    return dfreq.where(F.col("word") != "").withColumn("idf", F.log((n + 1) / (F.col("doc_freq") + 1)))
 
 
 def score_regression(train: DataFrame, features: list[str], label: str):
