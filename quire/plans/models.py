@@ -176,7 +176,7 @@ def nlp_features(spark, sf):
     out = model.transform(docs)
     # distinct terms before hashing (native; the 10 000-wide vectors are never densified)
     return out.select("doc_id", F.size("filtered_tokens").alias("num_tokens"),
-                      F.size(F.array_distinct("filtered_tokens")).alias("num_terms"), "features")
+                      F.size(F.array_distinct("filtered_tokens")).alias("num_terms"))
 
 
 @query("accuracy_from_predictions", _POLARITY_SQL + """,
