@@ -310,3 +310,12 @@ def test_polarity_join_path_without_text(spark):
     assert {r["id"]: r["polarity"] for r in out.collect()} == {1: 1.0, 2: -1.0}
     arrow = text.polarity(docs, "text", lex, keep_text=False)
     assert arrow.columns == ["id", "polarity"]
+
+
+def test_export_writes_tables(spark, tmp_path):
+    from quire.plans.export import export
+    from tests.conftest import SF_SMALL
+    done = export(spark, SF_SMALL, str(tmp_path / "out"), ["book_stats", "hist_score", "no_such_query_is_skipped"]
+                  [:2])
+    assert set(done) == {"book_stats", "hist_score"} and all(v >= 0 for v in done.values())
+    assert spark.read.parquet(str(tmp_path / "out" / "hist_score")).count() == 10
