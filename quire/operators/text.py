@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from quire.functions.scalar import KEEP_PATTERN, SPLIT_PATTERN, tokens
 from quire.operators.ranking import top_k_per_group
@@ -21,12 +21,13 @@ def default_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _arrow_polarity(lex_bc, text: str, out: str, keep_text: bool = True):
-    """Per-partition function: Arrow batches in, same batches + polarity out.
+def _arrow_polarity(lex_bc, text: str, out: str, keep_text: bool = True, tokens_out: str | None = None):
+    """Per-partition function: Arrow batches in, same batches + polarity out
+    (optionally without the text, optionally with the token lists).
 
-    Normalise, split, hash-look-up every word in the lexicon (``index_in``),
-    then per-row mean of the hits via ``bincount`` over the list parents -
-    vectorised, one pass, no per-word Python.
+    Normalise, split, drop empty pieces, hash-look-up every word in the lexicon
+    (``index_in``), then per-row mean of the hits via ``bincount`` over the
+    list parents - vectorised, one pass, no per-word Python.
     """
     def run(batches):
         import numpy as np
@@ -36,26 +37,37 @@ def _arrow_polarity(lex_bc, text: str, out: str, keep_text: bool = True):
         value_set = pa.array(words, pa.string())
         pol = np.asarray(pols, dtype="float64")
         for b in batches:
-            col = b.column(b.schema.get_field_index(text))
-            norm = pc.replace_substring_regex(pc.utf8_lower(col), KEEP_PATTERN, "")
-            toks = pc.split_pattern_regex(norm, SPLIT_PATTERN)
-            idx = pc.index_in(pc.list_flatten(toks), value_set=value_set)
-            ok = pc.is_valid(idx)
-            hit = pc.filter(idx, ok).to_numpy(zero_copy_only=False)
-            row = pc.filter(pc.list_parent_indices(toks), ok).to_numpy(zero_copy_only=False)
             n = b.num_rows
-            total = np.bincount(row, weights=pol[hit], minlength=n)
-            count = np.bincount(row, minlength=n)
+            col = b.column(b.schema.get_field_index(text))
+            pieces = pc.split_pattern_regex(pc.replace_substring_regex(pc.utf8_lower(col), KEEP_PATTERN, ""),
+                                            SPLIT_PATTERN)
+            flat = pc.list_flatten(pieces)
+            keep = pc.greater(pc.utf8_length(flat), 0)
+            words_ = pc.filter(flat, keep)
+            row = pc.filter(pc.list_parent_indices(pieces), keep).to_numpy(zero_copy_only=False)
+            idx = pc.index_in(words_, value_set=value_set)
+            ok = pc.is_valid(idx).to_numpy(zero_copy_only=False)
+            hit = pc.filter(idx, pc.is_valid(idx)).to_numpy(zero_copy_only=False)
+            total = np.bincount(row[ok], weights=pol[hit], minlength=n)
+            count = np.bincount(row[ok], minlength=n)
             mean = np.where(count > 0, total / np.maximum(count, 1), 0.0)
-            names = [n for n in b.schema.names if keep_text or n != text]
-            cols = [b.column(b.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(mean, pa.float64())], names=names + [out])
+            names = [c for c in b.schema.names if keep_text or c != text]
+            cols = [b.column(b.schema.get_field_index(c)) for c in names]
+            names.append(out)
+            cols.append(pa.array(mean, pa.float64()))
+            if tokens_out:
+                offsets = np.zeros(n + 1, dtype=np.int32)
+                np.cumsum(np.bincount(row, minlength=n), out=offsets[1:])
+                lists = pa.ListArray.from_arrays(pa.array(offsets), words_, mask=pc.is_null(col))
+                names.append(tokens_out)
+                cols.append(lists)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
     return run
 
 
 def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = None,
              out: str = "polarity", max_broadcast: int = MAX_BROADCAST_LEXICON,
-             keep_text: bool = True) -> DataFrame:
+             keep_text: bool = True, tokens_out: str | None = None) -> DataFrame:
     """Mean lexicon polarity of the words of ``text`` (0 when no word is known).
 
     ``lexicon`` has columns (word, polarity); repeated words are averaged.
@@ -68,7 +80,9 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = Non
     explode + join needs a shuffle to bring the score back to the text.)
     Above the limit the words are exploded and joined, which needs a unique
     ``key`` column. ``keep_text=False`` leaves the text out of the result
-    (less data back from the Arrow workers when only the score is needed).
+    (less data back from the Arrow workers when only the score is needed);
+    ``tokens_out`` adds the normalised word list under that name, so later
+    keyword counting does not tokenize the texts again.
     """
     spark = df.sparkSession
     lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
@@ -76,13 +90,17 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = Non
     if len(rows) <= max_broadcast:
         bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [float(r["polarity"]) for r in rows]))
         fields = [f for f in df.schema.fields if keep_text or f.name != text]
-        schema = StructType(fields + [StructField(out, DoubleType(), False)])
-        return df.mapInArrow(_arrow_polarity(bc, text, out, keep_text), schema)
+        fields.append(StructField(out, DoubleType(), False))
+        if tokens_out:
+            fields.append(StructField(tokens_out, ArrayType(StringType()), True))
+        return df.mapInArrow(_arrow_polarity(bc, text, out, keep_text, tokens_out), StructType(fields))
     if key is None:
         raise ValueError("a lexicon this large needs a unique key column for the join path")
     words = df.select(key, F.explode(tokens(text)).alias("word"))
     per = words.join(lex, "word").groupBy(key).agg(F.avg("polarity").alias(out))
     scored = df.join(per, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    if tokens_out:
+        scored = scored.withColumn(tokens_out, tokens(text))
     return scored if keep_text else scored.drop(text)
 
 
@@ -102,32 +120,35 @@ def distribution(df: DataFrame, label: str = "sentiment") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
 
 
-def keyword_counts(df: DataFrame, text: str, stopwords: list[str], by: list[str] | None = None) -> DataFrame:
+def keyword_counts(df: DataFrame, text: str, stopwords: list[str], by: list[str] | None = None,
+                   tokens_col: str | None = None) -> DataFrame:
     """(by..., word, count) over all texts. Stop words are tested after
     punctuation removal (a hash-set ``IN``); partial counts are combined
-    map-side before the shuffle."""
+    map-side before the shuffle. ``tokens_col`` names an already tokenized
+    column (e.g. from :func:`polarity`) to use instead of ``text``."""
     by = list(by or [])
-    words = df.select(*by, F.explode(tokens(text)).alias("word"))
+    toks = F.col(tokens_col) if tokens_col else tokens(text)
+    words = df.select(*by, F.explode(toks).alias("word"))
     if stopwords:
         words = words.where(~F.col("word").isin(*sorted(set(stopwords))))
     return words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_keywords(df: DataFrame, text: str, stopwords: list[str], k: int = 20,
-                 by: list[str] | None = None) -> DataFrame:
+                 by: list[str] | None = None, tokens_col: str | None = None) -> DataFrame:
     """Top ``k`` words by count (ties by word), overall or per ``by`` group."""
     by = list(by or [])
-    counts = keyword_counts(df, text, stopwords, by)
+    counts = keyword_counts(df, text, stopwords, by, tokens_col)
     if not by:
         return counts.orderBy(F.col("count").desc(), F.col("word").asc()).limit(k)
     return top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
 
 
 def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200,
-                 by: list[str] | None = None) -> DataFrame:
+                 by: list[str] | None = None, tokens_col: str | None = None) -> DataFrame:
     """Word-cloud weights: top ``k`` words per group, weight = count / top count."""
     by = list(by or [])
-    counts = keyword_counts(df, text, stopwords, by)
+    counts = keyword_counts(df, text, stopwords, by, tokens_col)
     top = top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
     peak = F.max("count").over(Window.partitionBy(*by))  # over at most k rows per group
     return top.withColumn("weight", F.col("count") / peak)

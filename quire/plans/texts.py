@@ -14,9 +14,9 @@ def _lexicon(spark):
     return spark.createDataFrame(LEXICON, "word string, polarity double")
 
 
-def _classified(spark, sf, keep_text: bool = True):
+def _classified(spark, sf, keep_text: bool = True, tokens_out: str | None = None):
     docs = fx.docs_fx(spark, sf).where(F.col("text").isNotNull()).select("doc_id", "text")
-    return text.classify(docs, "text", _lexicon(spark), key="doc_id", keep_text=keep_text)
+    return text.classify(docs, "text", _lexicon(spark), key="doc_id", keep_text=keep_text, tokens_out=tokens_out)
 
 
 def _tok(col: str = "text") -> str:
@@ -67,8 +67,8 @@ c as (select sentiment, word, count(*) as count from lw group by sentiment, word
 r as (select *, row_number() over (partition by sentiment order by count desc, word asc) as rank from c)
 select sentiment, word, count, rank from r where rank <= 20 and sentiment in ('Positive', 'Negative')""")
 def top_keywords_by_label(spark, sf):
-    lab = _classified(spark, sf).where(F.col("sentiment").isin("Positive", "Negative"))
-    out = text.top_keywords(lab, "text", STOPWORDS, 20, by=["sentiment"])
+    lab = _classified(spark, sf, keep_text=False, tokens_out="words").where(F.col("sentiment").isin("Positive", "Negative"))
+    out = text.top_keywords(lab, "text", STOPWORDS, 20, by=["sentiment"], tokens_col="words")
     return out.select("sentiment", "word", "count", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -77,5 +77,6 @@ r as (select *, row_number() over (partition by sentiment order by count desc, w
 select sentiment, word, count, round(count / max(count) over (partition by sentiment), 6) as weight
 from r where rank <= 200""")
 def term_weights(spark, sf):
-    out = text.term_weights(_classified(spark, sf), "text", STOPWORDS, 200, by=["sentiment"])
+    lab = _classified(spark, sf, keep_text=False, tokens_out="words")
+    out = text.term_weights(lab, "text", STOPWORDS, 200, by=["sentiment"], tokens_col="words")
     return rounded(out.select("sentiment", "word", "count", "weight"), ["weight"])

@@ -318,3 +318,17 @@ def test_export_writes_tables(spark, tmp_path):
     done = export(spark, SF_SMALL, str(tmp_path / "out"), ["book_stats", "hist_score"])
     assert set(done) == {"book_stats", "hist_score"} and all(v >= 0 for v in done.values())
     assert spark.read.parquet(str(tmp_path / "out" / "hist_score")).count() == 10
+
+
+def test_arrow_tokens_equal_jvm_tokens(spark):
+    from quire.sources import fixtures as fx
+    docs = fx.docs_fx(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    lex = spark.createDataFrame([("the", 1.0)], "word string, polarity double")
+    arrow = text.polarity(docs, "text", lex, tokens_out="words")
+    cmp = arrow.select("doc_id", "words", scalar.tokens("text").alias("jvm"))
+    assert cmp.count() == 1000
+    bad = cmp.where(~F.equal_null(F.col("words"), F.col("jvm"))).count()
+    assert bad == 0
+    assert cmp.where(F.col("words").isNull()).count() == docs.where(F.col("text").isNull()).count()
+    joined = text.polarity(docs, "text", lex, key="doc_id", max_broadcast=0, tokens_out="words", keep_text=False)
+    assert joined.columns == ["doc_id", "polarity", "words"]
