@@ -1,6 +1,6 @@
 """Run registered queries and write each result as a parquet table.
 
-    python -m quire.plans.export --sf /data/sf1 --out /shared/results [names...]
+    python -m quire.plans.export --sf /data/sf1 --out /shared/results [--stage /shared/views] [names...]
 
 Each query runs on the executors and is written by them; nothing passes
 through the driver. A query that fails is reported and the others go on.
@@ -36,9 +36,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf", required=True, help="folder with the input tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--master", default=None, help="e.g. local[8]; leave empty under spark-submit")
+    ap.add_argument("--stage", default=None,
+                    help="write the shared views (merged reviews etc.) here first and run the queries on them")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
     spark = get_session(args.master)
+    if args.stage:
+        from quire.sources.fixtures import stage_views
+        stage_views(spark, args.sf, args.stage)
     for name, sec in export(spark, args.sf, args.out, args.names or None).items():
         print(f"{name}\t{sec}")
 

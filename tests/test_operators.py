@@ -332,3 +332,19 @@ def test_arrow_tokens_equal_jvm_tokens(spark):
     assert cmp.where(F.col("words").isNull()).count() == docs.where(F.col("text").isNull()).count()
     joined = text.polarity(docs, "text", lex, key="doc_id", max_broadcast=0, tokens_out="words", keep_text=False)
     assert joined.columns == ["doc_id", "polarity", "words"]
+
+
+def test_staged_views_give_same_results(tmp_path):
+    from quire.session import get_session
+    from quire.sources import fixtures as fx
+    from quire.plans.catalog import QUERIES
+    from tests.compare import assert_same
+    from tests.conftest import SF_SMALL
+    spark = get_session("local[2]", 4).newSession()  # own session: staging does not leak into other tests
+    before = {n: QUERIES[n](spark, SF_SMALL).toPandas() for n in ("book_stats", "top_keywords", "hist_score")}
+    paths = fx.stage_views(spark, SF_SMALL, str(tmp_path / "views"))
+    assert set(paths) == {"reviews_fx", "books_fx", "merged_fx", "docs_fx"}
+    files = fx.merged_fx(spark, SF_SMALL).inputFiles()
+    assert files and all("/views/merged_fx/" in f for f in files)
+    for n, want in before.items():
+        assert_same(QUERIES[n](spark, SF_SMALL).toPandas(), want, n)
