@@ -35,19 +35,25 @@ def main() -> None:
     for w in ("book_stats", "sentiment_distribution"):
         QUERIES[w](spark, sf_dir).write.format("noop").mode("overwrite").save()
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    times = {}
+    times, errors = {}, {}
     for n in names:
         best = None
-        for _ in range(repeat):  # each run builds and executes the query from scratch
-            spark.catalog.clearCache()  # no run may reuse data cached by an earlier one
-            t0 = time.perf_counter()
-            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[n] = round(best, 3)
+        try:
+            for _ in range(repeat):  # each run builds and executes the query from scratch
+                spark.catalog.clearCache()  # no run may reuse data cached by an earlier one
+                t0 = time.perf_counter()
+                QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[n] = round(best, 3)
+        except Exception as exc:  # noqa: BLE001 - record and go on; the JSON line must still be printed
+            errors[n] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "repeat": repeat}))
+    out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf, "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
