@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import shuffle_partitions, slabs, staged, text_of, word_bounds
@@ -73,17 +73,18 @@ def text_fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     return np.packbits(bits, axis=1).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, key: Column, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(key, fp): one row per document, ``fp`` the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(id, version, fp): one row per document; ``fp`` the fingerprint as a signed long, ``version`` a hash of the text."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             fp = text_fingerprints(texts, shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fp)], names=["key", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("version"), pa.array(fp)],
+                                             names=["id", "version", "fp"])
 
-    rows = docs.select(key.alias("key"), text_of(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"key {kind}, fp long")
+    rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_of(text)).alias("version"), text_of(text).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(scan, f"id {kind}, version long, fp long")
 
 
 def _forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
@@ -163,12 +164,12 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """(id, fp, group, component): one row per row of ``docs``.
+    """(id, version, fp, group, component): one row per row of ``docs``.
 
     ``group`` names the connected group (its smallest fingerprint), ``component`` is the smallest id in it.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows share a group. A null
     id never is the smallest; ``component`` is null only where the whole group has null ids. Empty table: no rows."""
-    prints = staged(fingerprints(docs, F.col(id_column), text, shingle).withColumnRenamed("key", "id"), "simhash")
+    prints = staged(fingerprints(docs, id_column, text, shingle), "simhash")
     classes = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(prints.select("fp").distinct(), radius))
     named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
@@ -178,6 +179,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return prints.join(member, "fp")
 
 
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                radius: int = RADIUS) -> DataFrame:
+    """One row of each near-duplicate group, with the columns of ``docs``: the one with the smallest id.
+
+    Null ids come last, rows that share an id by a hash of their text; of fully repeated rows one stays."""
+    near = near_duplicates(docs, id_column, text, shingle, radius)
+    first = near.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("m"))
+
+    def key(a: Column, version: Column) -> Column:
+        return F.concat_ws("|", F.coalesce(a.cast("string"), F.lit("")), version.cast("string"))
+
+    kept = first.select(key(F.col("m.id"), F.col("m.version")).alias("_key"))
+    mine = docs.withColumn("_key", key(F.col(id_column), F.xxhash64(text_of(text))))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return mine.join(kept, "_key", "left_semi").withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+
+
 def hex_fingerprint(column: str = "fp") -> Column:
     """16 lowercase hex digits of a fingerprint."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))

@@ -9,7 +9,6 @@ interval, and the intervals of a document merge when its words are cut."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -240,6 +239,3 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     kind = joined.schema["id"].dataType.simpleString()
     return joined.mapInArrow(cut, f"id {kind}, n_words long, n_removed long, kept string")
 
-
-def digest(kept: str) -> str:
-    return hashlib.sha256(kept.encode()).hexdigest()

@@ -194,7 +194,7 @@ def archive_captures(pages: DataFrame, id_column: str = "page_id", url: str = "u
                     .otherwise(F.regexp_replace("declared_digest", "^sha1:", ""))) \
         .withColumn("fields", F.when(F.col("type") == "metadata", F.col("payload").cast("string"))).drop("payload")
     kind = pages.schema[id_column].dataType.simpleString()
-    page = F.nullif(F.regexp_extract(F.col("metadata")[0]["fields"], r"(?m)^page-id: (.*?)\r?$", 1), F.lit(""))
+    page = F.nullif(F.regexp_extract(F.get("metadata", 0)["fields"], r"(?m)^page-id: (.*?)\r?$", 1), F.lit(""))
     captures = staged(assemble(found).select(page.cast(kind).alias("id"), "response.type", "response.digest", "response.payload_bytes"),
                       "captures")
     sources = captures.where("type = 'response'").groupBy("digest").agg(
