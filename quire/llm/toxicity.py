@@ -38,7 +38,7 @@ NEAR = 5  # words on either side
 #: digits and signs that stand for letters
 LEET = str.maketrans("013457@$!", "oieastasi")
 
-FEATURES = ["words", "insults", "profanity", "threats", "learnt", "stems", "hits", "second_person", "near_second_person",
+FEATURES = ["words", "insults", "profanity", "threats", "learnt", "stems", "evidence", "strongest", "hits", "second_person", "near_second_person",
             "capitals", "all_caps", "exclamations", "questions", "signs", "mixed", "masked", "stretched", "disguised"]
 
 _TOKEN = re.compile(r"\w+")
@@ -57,8 +57,8 @@ def terms(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n}
 
 
-def features(text: str, words_learnt: frozenset, stems_learnt: dict[int, frozenset]) -> list[float]:
-    """The values of ``FEATURES``; an empty text gives zeros."""
+def features(text: str, words_learnt: dict[str, float], stems_learnt: dict[int, dict[str, float]]) -> list[float]:
+    """The values of ``FEATURES``; an empty text gives zeros. Learnt terms come with their log-odds."""
     low = text.lower()
     tokens = _TOKEN.findall(low)
     n = len(tokens)
@@ -66,8 +66,13 @@ def features(text: str, words_learnt: frozenset, stems_learnt: dict[int, frozens
         return [0.0] * len(FEATURES)
     kinds = set(tokens)
     seeds = [kinds & s for s in SEEDS]
-    learnt = kinds & words_learnt
-    stems = {w for w in kinds if any(w[:k] in s for k, s in stems_learnt.items())}
+    learnt = kinds & words_learnt.keys()
+    stems, odds = set(), [words_learnt[w] for w in learnt]
+    for k, known in stems_learnt.items():
+        for w in kinds:
+            if len(w) > k and w[:k] in known:
+                stems.add(w)
+                odds.append(known[w[:k]])
     bad = set().union(*seeds, learnt, stems)
     at = [i for i, t in enumerate(tokens) if t in bad] if bad else []
     second = kinds & SECOND_PERSON
@@ -92,7 +97,8 @@ def features(text: str, words_learnt: frozenset, stems_learnt: dict[int, frozens
     for m in _STRETCHED.finditer(low):
         stretched += 1
     capitals = sum(map(str.isupper, text)) / letters if not text.islower() else 0.0
-    return [math.log1p(n), *(total(s) / n for s in seeds), total(learnt) / n, total(stems) / n, min(float(len(at)), 20.0),
+    return [math.log1p(n), *(total(s) / n for s in seeds), total(learnt) / n, total(stems) / n,
+            sum(odds), max(odds, default=0.0), min(float(len(at)), 20.0),
             len(you) / n, near / max(1, len(at)), capitals, len(_CAPS.findall(text)) / n, low.count("!") / n,
             low.count("?") / n, len(_SIGNS.findall(low)) / letters, len(_MIXED.findall(low)) / n,
             len(_MASKED.findall(low)) / n, stretched / n, hidden / n]
@@ -103,7 +109,7 @@ class ToxicityModel:
     """A fitted scorer. Without usable labels ``trees`` is None and every score is ``base``."""
 
     base: float
-    words: frozenset = frozenset()
+    words: dict = field(default_factory=dict)
     stems: dict = field(default_factory=dict)
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
@@ -144,9 +150,9 @@ def _margin(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(train: DataFrame, text: str, label: str, n_toxic: int, n_clean: int, size: int = LEARNT,
-                  min_z: float = MIN_Z) -> tuple[frozenset, dict[int, frozenset]]:
+                  min_z: float = MIN_Z) -> tuple[dict[str, float], dict[int, dict[str, float]]]:
     """Words and word beginnings whose document frequency tells toxic from clean texts: the ``size`` highest
-    z values of the smoothed log-odds ratio, at least ``min_z``."""
+    z values of the smoothed log-odds ratio, at least ``min_z``. Gives the log-odds of words, and of beginnings by length."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t, y in zip(batch.column("text"), batch.column("label")):
@@ -160,10 +166,10 @@ def learn_lexicon(train: DataFrame, text: str, label: str, n_toxic: int, n_clean
     odds = F.log(a / (n_toxic - F.col("a") + 0.5)) - F.log(b / (n_clean - F.col("n") + F.col("a") + 0.5))
     spread = 1 / a + 1 / b + 1 / (n_toxic - F.col("a") + 0.5) + 1 / (n_clean - F.col("n") + F.col("a") + 0.5)
     top = pairs.groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")) \
-        .withColumn("z", odds / F.sqrt(spread)).where(F.col("z") >= min_z).orderBy(F.col("z").desc(), "term").limit(size)
-    found = [r["term"] for r in top.select("term").collect()]  # at most ``size`` rows
-    stems = {k: frozenset(t[:-1] for t in found if t.endswith("*") and len(t) == k + 1) for k in (4, 5, 6)}
-    return frozenset(t for t in found if not t.endswith("*")), {k: s for k, s in stems.items() if s}
+        .withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(spread)).where(F.col("z") >= min_z).orderBy(F.col("z").desc(), "term").limit(size)
+    found = {r["term"]: r["odds"] for r in top.select("term", "odds").collect()}  # at most ``size`` rows
+    stems = {k: {t[:-1]: w for t, w in found.items() if t.endswith("*") and len(t) == k + 1} for k in (4, 5, 6)}
+    return {t: w for t, w in found.items() if not t.endswith("*")}, {k: s for k, s in stems.items() if s}
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
