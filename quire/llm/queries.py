@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.llm import (mixing, multiset_hash, packing, pii, secret_scan, simhash, spans, substring, toxicity,
                        va_search, warc)
 from quire.llm.common import read_table
+from quire.llm.oracles import ORACLES  # noqa: F401
 
 
 def word_tokenizer() -> str:
