@@ -12,6 +12,11 @@ KEEP_PATTERN = r"[^a-z \t\n\r\f\x0B]"
 SPLIT_PATTERN = r"[ \t\n\r\f\x0B]+"
 LIST_PUNCT_PATTERN = r"[\[\]']"
 
+# Unix seconds of the first and last second of the years 1 to 9999.
+_SECONDS = (-62135596800, 253402300799)
+# White space beyond ASCII that separates words.
+_SPACES = "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -23,9 +28,10 @@ def unix_to_timestamp(seconds, zone: str = "UTC") -> Column:
     """Unix seconds -> local wall time (TIMESTAMP_NTZ) in ``zone``.
 
     Computed without the session zone, so the result does not depend on
-    where the driver runs.
+    where the driver runs. Seconds outside the years 1 to 9999 give null.
     """
     s = _col(seconds).cast("bigint")
+    s = F.when(s.between(*_SECONDS), s)
     utc = F.expr(_EPOCH) + F.make_dt_interval(days=F.floor(s / 86400).cast("int"),
                                                secs=F.pmod(s, F.lit(86400)).cast("decimal(18,6)"))
     if zone.upper() in ("UTC", "Z", "GMT"):
@@ -54,8 +60,8 @@ def strip_list(text) -> Column:
 
 
 def normalize_text(text) -> Column:
-    """Lower case, then delete everything but a-z and white space."""
-    return F.regexp_replace(F.lower(_col(text)), KEEP_PATTERN, "")
+    """Lower case, other white space to blanks, then delete everything but a-z and white space."""
+    return F.regexp_replace(F.translate(F.lower(_col(text)), _SPACES, " " * len(_SPACES)), KEEP_PATTERN, "")
 
 
 def tokens(text, normalize: bool = True) -> Column:
@@ -65,8 +71,8 @@ def tokens(text, normalize: bool = True) -> Column:
 
 
 def year_to_date(year) -> Column:
-    """Year number -> first of January; out of range -> null."""
-    y = _col(year).cast("int")
+    """Year number -> first of January; not a number or out of range -> null."""
+    y = _col(year).try_cast("int")
     return F.when(y.between(1, 9999), F.make_date(y, F.lit(1), F.lit(1)))
 
 

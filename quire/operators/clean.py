@@ -32,8 +32,16 @@ def safe_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def fill(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Replace null by a constant per column (NaN is left alone)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    """Replace null by a constant per column (NaN is left alone).
+
+    A text default turns a column of another type into text, as a CASE with both would."""
+    types = dict(df.dtypes)
+
+    def filled(c: str, v: object) -> Column:
+        old = F.col(c).cast("string") if isinstance(v, str) and types[c] != "string" else F.col(c)
+        return F.coalesce(old, F.lit(v))
+
+    return df.withColumns({c: filled(c, v) for c, v in defaults.items()})
 
 
 def case_label(value: Column, rules: list[tuple[Column, object]], default: object) -> Column:

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.quantile import quantiles_wide
+from quire.operators.quantile import null_safe_join, quantiles_wide
 
 # exp(-z*z/2) is exactly 0.0 in double precision for |z| > 38.6, so kernel
 # terms beyond this many bandwidths are dropped without changing the sum.
@@ -33,10 +33,10 @@ def bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, col: str, bins: int, range_: tuple[float, float] | None = None) -> DataFrame:
     """(bin, lower, upper, count) for ``bins`` equal-width bins over min..max
-    (or ``range_``, values outside dropped); empty bins are listed with 0."""
+    (or ``range_``, values outside dropped); empty bins are listed with 0. Null, NaN and infinite values are left out."""
     spark = df.sparkSession
     v = F.col(col).cast("double")
-    vals = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") != float("inf")))
     if range_ is not None:
         lo, hi = F.lit(float(range_[0])), F.lit(float(range_[1]))
         vals = vals.where(F.col("v").between(lo, hi))
@@ -89,7 +89,7 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
     st = st.withColumn("h", factor * F.col("sd")).withColumn(
         "step", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / (grid - 1)).otherwise(F.lit(1.0)))
     if by:
-        j = vc.join(st, by)  # one row per group on the right
+        j = null_safe_join(vc, st, by)  # one row per group on the right; null is a group too
     else:
         one = {c: st.select(c).scalar() for c in ("n", "sd", "lo", "hi", "h", "step")}  # merged into one subquery
         j = vc.select("*", *[v.alias(c) for c, v in one.items()])
@@ -110,7 +110,7 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: list[str] | None = None,
         frame = df.sparkSession.range(grid, numPartitions=1).select(
             one["lo"].alias("lo"), one["step"].alias("step"), F.col("id").cast("int").alias("point")).where(one["h"] > 0)
     frame = frame.select(*by, "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"))
-    out = frame.join(sums, [*by, "point"], "left")
+    out = null_safe_join(frame, sums, [*by, "point"], "left")
     return out.select(*by, "point", "x", F.coalesce(F.col("density"), F.lit(0.0)).alias("density"))
 
 

@@ -48,10 +48,16 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def _every_column(stats: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per listed column, also where there are no statistics."""
+    names = stats.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(stats, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+
+
 def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = None,
             exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Long form (column, count, mean, stddev, min, p25, p50, p75, max); numeric
-    columns, null and NaN ignored.
+    values, null, NaN and text that is no number ignored. A column without any value keeps its row: count 0, rest null.
 
     The columns are unpivoted to (column, value), so every statistic is one
     grouped aggregation keyed by the column name. ``exact`` gives discrete
@@ -60,7 +66,7 @@ def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = Non
     column, rank error at most n / ``accuracy``.
     """
     probs = probs or {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    long = df.select(*[F.col(c).try_cast("double").alias(c) for c in cols]).unpivot(
         ids=[], values=cols, variableColumnName="column", valueColumnName="value")
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     basic = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
@@ -72,9 +78,9 @@ def summary(df: DataFrame, cols: list[str], probs: dict[str, float] | None = Non
             F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
             F.min("value").alias("min"), F.max("value").alias("max"), approx.alias("_q"))
         out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)]).drop("_q")
-        return out.select("column", "count", "mean", "stddev", "min", *probs.keys(), "max")
+        return _every_column(out, cols).select("column", "count", "mean", "stddev", "min", *probs.keys(), "max")
     q = quantiles_long(long, "value", list(probs.values()), method="disc", by=["column"])
     qw = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("value"))).alias(n)
                                    for n, p in probs.items()])
-    out = basic.join(qw, "column", "left")
+    out = _every_column(basic.join(qw, "column", "left"), cols)
     return out.select("column", "count", "mean", "stddev", "min", *probs.keys(), "max")

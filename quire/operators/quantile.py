@@ -21,6 +21,15 @@ from quire.operators.layout import pin
 from quire.operators.ranking import _partitions
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equally named columns, null equal to null; the keys appear once."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(other, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def quantiles_long(df: DataFrame, value: str, probs: list[float], method: str = "disc",
                    by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Rows (by..., p, value): one per group and probability.
@@ -71,10 +80,10 @@ def quantiles_long(df: DataFrame, value: str, probs: list[float], method: str =
     if not by:  # at most 2 x len(probs) rows
         tgt, chunks = F.broadcast(tgt), F.broadcast(chunks)
 
-    rows = staged.join(chunks, ["_pid", *by])
+    rows = null_safe_join(staged, chunks, ["_pid", *by], "left_semi")
     run = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_local", F.coalesce(F.sum("_w").over(run), F.lit(0)))
-    picked = rows.join(tgt, ["_pid", *by]).where(
+    picked = null_safe_join(rows, tgt, ["_pid", *by]).where(
         (F.col("_lidx") >= F.col("_local")) & (F.col("_lidx") < F.col("_local") + F.col("_w")))
     if method == "disc":
         return picked.groupBy(*by, "p").agg(F.min("_v").alias("value"))

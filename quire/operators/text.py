@@ -5,15 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from quire.functions.scalar import KEEP_PATTERN, SPLIT_PATTERN, tokens
+from quire.functions.scalar import tokens
+from quire.operators.layout import stage_table
 from quire.operators.ranking import top_k_per_group
 
-# A lexicon up to this many words is shipped to the tasks (broadcast) and
-# looked up per batch; a larger one is joined instead.
-MAX_BROADCAST_LEXICON = 2_000_000
-
 
 def default_stopwords() -> list[str]:
     """Spark ML's English stop list (needs an active session)."""
@@ -21,87 +17,28 @@ def default_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _arrow_polarity(lex_bc, text: str, out: str, keep_text: bool = True, tokens_out: str | None = None):
-    """Per-partition function: Arrow batches in, same batches + polarity out
-    (optionally without the text, optionally with the token lists).
-
-    Normalise, split, drop empty pieces, hash-look-up every word in the lexicon
-    (``index_in``), then per-row mean of the hits via ``bincount`` over the
-    list parents - vectorised, one pass, no per-word Python.
-    """
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        words, pols = lex_bc.value
-        value_set = pa.array(words, pa.string())
-        pol = np.asarray(pols, dtype="float64")
-        for b in batches:
-            n = b.num_rows
-            col = b.column(b.schema.get_field_index(text))
-            pieces = pc.split_pattern_regex(pc.replace_substring_regex(pc.utf8_lower(col), KEEP_PATTERN, ""),
-                                            SPLIT_PATTERN)
-            flat = pc.list_flatten(pieces)
-            keep = pc.greater(pc.utf8_length(flat), 0)
-            words_ = pc.filter(flat, keep)
-            row = pc.filter(pc.list_parent_indices(pieces), keep).to_numpy(zero_copy_only=False)
-            idx = pc.index_in(words_, value_set=value_set)
-            ok = pc.is_valid(idx).to_numpy(zero_copy_only=False)
-            hit = pc.filter(idx, pc.is_valid(idx)).to_numpy(zero_copy_only=False)
-            total = np.bincount(row[ok], weights=pol[hit], minlength=n)
-            count = np.bincount(row[ok], minlength=n)
-            mean = np.where(count > 0, total / np.maximum(count, 1), 0.0)
-            names = [c for c in b.schema.names if keep_text or c != text]
-            cols = [b.column(b.schema.get_field_index(c)) for c in names]
-            names.append(out)
-            cols.append(pa.array(mean, pa.float64()))
-            if tokens_out:
-                offsets = np.zeros(n + 1, dtype=np.int32)
-                np.cumsum(np.bincount(row, minlength=n), out=offsets[1:])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), words_, mask=pc.is_null(col))
-                names.append(tokens_out)
-                cols.append(lists)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-    return run
-
-
-def polarity(df: DataFrame, text: str, lexicon: DataFrame, key: str | None = None,
-             out: str = "polarity", max_broadcast: int = MAX_BROADCAST_LEXICON,
+def polarity(df: DataFrame, text: str, lexicon: DataFrame, out: str = "polarity",
              keep_text: bool = True, tokens_out: str | None = None) -> DataFrame:
     """Mean lexicon polarity of the words of ``text`` (0 when no word is known).
 
     ``lexicon`` has columns (word, polarity); repeated words are averaged.
     Texts are normalised like :func:`quire.functions.scalar.tokens`.
 
-    Up to ``max_broadcast`` words (checked with a count) the lexicon is
-    broadcast and each partition's Arrow batches are scored in place: the
-    texts are never shuffled and each word is one hash probe. (Spark's map
-    lookup inside ``transform`` scans the map linearly per word, and an
-    explode + join needs a shuffle to bring the score back to the text.)
-    Above the limit the words are exploded and joined, which needs a unique
-    ``key`` column. ``keep_text=False`` leaves the text out of the result
-    (less data back from the Arrow workers when only the score is needed);
-    ``tokens_out`` adds the normalised word list under that name, so later
-    keyword counting does not tokenize the texts again.
+    One path for any lexicon: the rows are numbered and written once with
+    their words, the words are joined with the lexicon (Spark chooses how) and
+    averaged per row number. So rows are scored by themselves whatever keys they
+    have, and the texts are tokenized once. ``keep_text=False`` leaves the text
+    out of the result; ``tokens_out`` adds the word list under that name.
     """
-    spark = df.sparkSession
-    lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("polarity"))
-    rows = lex.limit(max_broadcast + 1).collect()  # never more than max_broadcast + 1 rows
-    if len(rows) <= max_broadcast:
-        bc = spark.sparkContext.broadcast(([r["word"] for r in rows], [float(r["polarity"]) for r in rows]))
-        fields = [f for f in df.schema.fields if keep_text or f.name != text]
-        fields.append(StructField(out, DoubleType(), False))
-        if tokens_out:
-            fields.append(StructField(tokens_out, ArrayType(StringType()), True))
-        return df.mapInArrow(_arrow_polarity(bc, text, out, keep_text, tokens_out), StructType(fields))
-    if key is None:
-        raise ValueError("a lexicon this large needs a unique key column for the join path")
-    words = df.select(key, F.explode(tokens(text)).alias("word"))
-    per = words.join(lex, "word").groupBy(key).agg(F.avg("polarity").alias(out))
-    scored = df.join(per, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("_polarity"))
+    numbered = df.withColumns({"_row": F.monotonically_increasing_id(), "_tokens": tokens(text)})
+    rows = stage_table(numbered if keep_text else numbered.drop(text), "texts")
+    words = rows.select("_row", F.explode("_tokens").alias("word"))
+    per = words.join(lex, "word").groupBy("_row").agg(F.avg("_polarity").alias("_mean"))
+    scored = rows.join(per, "_row", "left").withColumn(out, F.coalesce("_mean", F.lit(0.0)))
     if tokens_out:
-        scored = scored.withColumn(tokens_out, tokens(text))
-    return scored if keep_text else scored.drop(text)
+        scored = scored.withColumn(tokens_out, F.col("_tokens"))
+    return scored.drop("_row", "_tokens", "_mean")
 
 
 def sentiment_label(score: str | Column = "polarity", pos: float = 0.1, neg: float = -0.1) -> Column:

@@ -188,7 +188,7 @@ select count(*) as n, cast(sum(case when label = prediction then 1 else 0 end) a
 def accuracy_from_predictions(spark, sf):
     d = fx.docs_fx(spark, sf).where(F.col("text").isNotNull() & F.col("score").isNotNull())
     lex = spark.createDataFrame(LEXICON, "word string, polarity double")
-    p = text.polarity(d, "text", lex, key="doc_id", keep_text=False)
+    p = text.polarity(d, "text", lex, keep_text=False)
     p = p.select(clean.score_label("score").alias("label"),
                  F.when(F.col("polarity") > 0, "positive").otherwise("negative").alias("prediction"))
     return rounded(supervised.accuracy_table(p), ["accuracy"])

@@ -16,7 +16,7 @@ def _lexicon(spark):
 
 def _classified(spark, sf, keep_text: bool = True, tokens_out: str | None = None):
     docs = fx.docs_fx(spark, sf).where(F.col("text").isNotNull()).select("doc_id", "text")
-    return text.classify(docs, "text", _lexicon(spark), key="doc_id", keep_text=keep_text, tokens_out=tokens_out)
+    return text.classify(docs, "text", _lexicon(spark), keep_text=keep_text, tokens_out=tokens_out)
 
 
 def _tok(col: str = "text") -> str:

@@ -174,13 +174,12 @@ def test_index_labels_ties(spark):
     assert out == {"c": 0.0, "a": 1.0, "b": 2.0}
 
 
-def test_polarity_paths_agree(spark):
+def test_polarity_values(spark):
     docs = spark.createDataFrame([(1, "Good GOOD bad!"), (2, None), (3, "nothing here"), (4, "")],
                                  "id long, text string")
     lex = spark.createDataFrame([("good", 0.5), ("bad", -1.0), ("good", 1.0)], "word string, polarity double")
     a = {r["id"]: r["polarity"] for r in text.polarity(docs, "text", lex).collect()}
-    b = {r["id"]: r["polarity"] for r in text.polarity(docs, "text", lex, key="id", max_broadcast=0).collect()}
-    assert a == b == {1: (0.75 + 0.75 - 1.0) / 3, 2: 0.0, 3: 0.0, 4: 0.0}
+    assert a == {1: (0.75 + 0.75 - 1.0) / 3, 2: 0.0, 3: 0.0, 4: 0.0}
     lab = text.classify(docs, "text", lex).select("id", "sentiment").collect()
     assert {r["id"]: r["sentiment"] for r in lab}[1] == "Positive"
 
@@ -302,14 +301,47 @@ def test_histogram_with_range(spark):
     assert list(h["count"]) == [2, 2] and list(h["lower"]) == [0.0, 1.0]
 
 
-def test_polarity_join_path_without_text(spark):
+def test_polarity_without_text(spark):
     docs = spark.createDataFrame([(1, "good day"), (2, "bad")], "id long, text string")
     lex = spark.createDataFrame([("good", 1.0), ("bad", -1.0)], "word string, polarity double")
-    out = text.polarity(docs, "text", lex, key="id", max_broadcast=0, keep_text=False)
+    out = text.polarity(docs, "text", lex, keep_text=False)
     assert out.columns == ["id", "polarity"]
     assert {r["id"]: r["polarity"] for r in out.collect()} == {1: 1.0, 2: -1.0}
-    arrow = text.polarity(docs, "text", lex, keep_text=False)
-    assert arrow.columns == ["id", "polarity"]
+
+
+def test_polarity_scores_rows_whatever_their_keys(spark):
+    docs = spark.createDataFrame([(1, "good"), (1, "bad"), (None, "good bad bad"), (None, None)], "id long, text string")
+    small = spark.createDataFrame([("good", 1.0), ("bad", -1.0)], "word string, polarity double")
+    large = small.union(spark.range(300_000).selectExpr("concat('w', id)", "0.5D"))
+    for lex in (small, large):
+        got = sorted((r["text"] or "", r["polarity"]) for r in text.polarity(docs, "text", lex).collect())
+        assert got == [("", 0.0), ("bad", -1.0), ("good", 1.0), ("good bad bad", -1 / 3)]
+
+
+def test_null_groups_and_keys_are_kept(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", 9.0)], "g string, v double")
+    q = {r["g"]: r["value"] for r in quantile.quantiles_long(df, "v", [0.5], "disc", ["g"]).collect()}
+    assert q == {None: 1.0, "a": 5.0}
+    peak = {r["g"]: r["m"] for r in distribution.kde(df, "v", 20, ["g"]).groupBy("g").agg(F.max("density").alias("m")).collect()}
+    assert peak[None] > 0 and peak["a"] > 0
+    for key in ("g", "n"):
+        rows = spark.range(200).selectExpr("if(id % 10 = 0, NULL, concat('k', id)) AS g", "if(id % 10 = 0, NULL, id) AS n")
+        parts = sampling.split(rows, [0.8, 0.2], 7, key)
+        assert sum(p.count() for p in parts) == 200 and sampling.bernoulli(rows, 1.0, 7, key).count() == 200
+        assert sampling.split_label(rows, {"train": 0.8, "test": 0.2}, 7, key).where("split IS NULL").isEmpty()
+
+
+def test_dirty_values_do_not_raise(spark):
+    df = spark.createDataFrame([("A&C Black", None, 1.0, 10 ** 15), ("12", None, float("inf"), 0)], "t string, n int, v double, s long")
+    got = {r["column"]: r for r in profile.summary(df, ["t", "n"]).collect()}
+    assert got["t"]["count"] == 1 and got["n"]["count"] == 0 and got["n"]["max"] is None
+    assert {r["column"] for r in profile.summary(df, ["t", "n"], exact=False).collect()} == {"t", "n"}
+    assert clean.fill(df, {"n": "Unknown"}).select("n").distinct().collect()[0][0] == "Unknown"
+    dates = df.select(scalar.year_to_date("t").alias("d"), scalar.unix_to_text("s").alias("u"),
+                      scalar.tokens(F.lit("good\u00a0book")).alias("w")).collect()
+    assert [r["d"] for r in dates][0] is None and dates[0]["u"] is None and dates[1]["u"] == "1970-01-01 00:00:00"
+    assert dates[0]["w"] == ["good", "book"]
+    assert [r["count"] for r in distribution.histogram(df, "v", 2).orderBy("bin").collect()] in ([1, 0], [0, 1])
 
 
 def test_export_writes_tables(spark, tmp_path):
@@ -320,7 +352,7 @@ def test_export_writes_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "hist_score")).count() == 10
 
 
-def test_arrow_tokens_equal_jvm_tokens(spark):
+def test_scored_tokens_equal_tokens(spark):
     from quire.sources import fixtures as fx
     docs = fx.docs_fx(spark, "/root/testdata/sf0.01").select("doc_id", "text")
     lex = spark.createDataFrame([("the", 1.0)], "word string, polarity double")
@@ -330,7 +362,7 @@ def test_arrow_tokens_equal_jvm_tokens(spark):
     bad = cmp.where(~F.equal_null(F.col("words"), F.col("jvm"))).count()
     assert bad == 0
     assert cmp.where(F.col("words").isNull()).count() == docs.where(F.col("text").isNull()).count()
-    joined = text.polarity(docs, "text", lex, key="doc_id", max_broadcast=0, tokens_out="words", keep_text=False)
+    joined = text.polarity(docs, "text", lex, tokens_out="words", keep_text=False)
     assert joined.columns == ["doc_id", "polarity", "words"]
 
 
