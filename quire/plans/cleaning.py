@@ -28,7 +28,8 @@ def src_parquet_scan(spark, sf):
 
 @query("sink_parquet_roundtrip", """select * from reviews_fx""")
 def sink_parquet_roundtrip(spark, sf):
-    path = write_parquet(fx.reviews_fx(spark, sf), scratch_path(spark, "parquet"), partitions=4)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))  # set to the size of the data
+    path = write_parquet(fx.reviews_fx(spark, sf), scratch_path(spark, "parquet"), partitions=files)
     return spark.read.parquet(path)
 
 

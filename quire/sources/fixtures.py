@@ -3,8 +3,10 @@
 The driver tables are a star schema (orders, lineitem, part, ...). These
 functions map them onto the shapes the analytics expect - a review table, an
 item table, their merge, labelled texts, a table with full-row copies and a
-time series with gaps, NaN and nulls. The same definitions exist as SQL text
-in :mod:`quire.plans.fixture_sql` for the DuckDB oracle; both must agree.
+time series with gaps, NaN and nulls. Every row and text of the source tables is
+kept; unmatched items, missing texts, copies, gaps and missing values are added as
+further rows. The same definitions exist as SQL text in
+:mod:`quire.plans.fixture_sql` for the DuckDB oracle; both must agree.
 """
 
 from __future__ import annotations
@@ -22,6 +24,11 @@ def _null() -> Column:
     return F.lit(None)
 
 
+def _also(condition: Column, extra: int = 1) -> Column:
+    """Generates 0 for every row, and 1..``extra`` besides where ``condition`` holds."""
+    return F.explode(F.when(condition, F.sequence(F.lit(0), F.lit(extra))).otherwise(F.array(F.lit(0))))
+
+
 def _view(fn):
     """Build each view once per session and folder (a plan, not data)."""
     built: dict[tuple, DataFrame] = {}
@@ -42,18 +49,20 @@ def _view(fn):
 
 @_view
 def reviews_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One review per line item: user = customer of the order, item = part."""
+    """One review per line item: user = customer of the order, item = part. Every
+    tenth line adds a review of an item that the item table does not have."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     j = li.join(od, li.l_orderkey == od.o_orderkey)
+    j = j.withColumn("added", _also((F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 9))
     ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     score_raw = (F.when((ok + ln) % 41 == 0, _null().cast("string"))
                  .when((ok + pk) % 97 == 0, F.lit("Random House"))
                  .otherwise((F.lit(1) + (ok * 7 + pk * 3 + ln) % 5).cast("double").cast("string")))
     return j.select(
-        (ok * 10 + ln).cast("bigint").alias("review_id"),
+        ((ok * 10 + ln) * 2 + F.col("added")).cast("bigint").alias("review_id"),
         F.col("o_custkey").alias("user_id"),
-        pk.alias("item_id"),
+        F.when(F.col("added") == 0, pk).otherwise(-pk).alias("item_id"),
         score_raw.alias("score_raw"),
         (F.lit(788918400) + ((ok * 37 + ln) % 2400) * 86400).cast("bigint").alias("review_time"),
         F.col("o_orderdate").alias("review_ts"),
@@ -63,14 +72,14 @@ def reviews_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_view
 def books_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item table: list-valued text, nulls, bad counts, outliers; 10 % of items missing."""
+    """Item table: list-valued text, nulls, bad counts, outliers."""
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
     pk = F.col("p_partkey")
     ratings = (F.when(pk % 3 == 0, _null().cast("string"))
                .when(pk % 101 == 0, F.lit("A&C Black"))
                .when(pk % 50 == 1, (F.col("p_size") * 40).cast("string"))
                .otherwise(F.col("p_size").cast("string")))
-    return p.where(pk % 10 != 9).select(
+    return p.select(
         pk.alias("item_id"),
         F.col("p_name").alias("title"),
         F.concat(F.lit("['"), F.col("p_brand"), F.lit("']")).alias("authors"),
@@ -96,14 +105,15 @@ def merged_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_view
 def docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review texts with a score where a label exists (null text every 43rd doc)."""
+    """Review texts with a score where a label exists; every 43rd document adds a row
+    without text, under a negative id."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "text"])
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    j = d.join(lab, "doc_id", "left")
-    did = F.col("doc_id")
+    j = d.join(lab, "doc_id", "left").withColumn("added", _also(F.col("doc_id") % 43 == 0))
+    did, kept = F.col("doc_id"), F.col("added") == 0
     return j.select(
-        did, "lang", "source",
-        F.when(did % 43 == 0, _null().cast("string")).otherwise(F.col("text")).alias("text"),
+        F.when(kept, did).otherwise(-1 - did).alias("doc_id"), "lang", "source",
+        F.when(kept, F.col("text")).alias("text"),
         F.when(F.col("quality") == 1, (F.lit(4) + did % 2).cast("double"))
          .when(F.col("quality") == 0, (F.lit(1) + did % 3).cast("double")).alias("score"),
     )
@@ -111,21 +121,31 @@ def docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_view
 def dup_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrow projection of reviews with many full-row copies."""
-    r = reviews_fx(spark, sf_dir)
-    return r.select((F.col("user_id") % 50).alias("user_id"), (F.col("item_id") % 100).alias("item_id"), "score_raw")
+    """Narrow projection of reviews; every third review comes with three further copies."""
+    r = reviews_fx(spark, sf_dir).withColumn("added", _also(F.col("review_id") % 3 == 0, 3))
+    return r.select("user_id", "item_id", "score_raw")
 
 
 @_view
 def gap_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with every fifth day removed, NaN and null values."""
+    """All events; some are repeated with NaN or null values, and some 400 days later, on
+    days that have few other events."""
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     eid = F.col("event_id")
-    value = (F.when(eid % 53 == 0, F.lit(float("nan")))
-             .when(eid % 31 == 0, F.lit(None).cast("double"))
-             .otherwise(F.col("value")))
-    return e.where(F.extract(F.lit("day"), F.col("ts")) % 5 != 0).select(
-        eid, "ts", "user_id", "event_type", value.alias("value"))
+
+    def row(days: int, value: Column) -> Column:
+        return F.struct(F.lit(days).alias("days"), value.cast("double").alias("value"))
+
+    def only(condition: Column, extra: Column) -> Column:
+        return F.when(condition, F.array(extra)).otherwise(F.array().cast("array<struct<days:int,value:double>>"))
+
+    rows = F.concat(F.array(row(0, F.col("value"))),
+                    only(eid % 53 == 0, row(0, F.lit(float("nan")))),
+                    only(eid % 31 == 0, row(0, _null())),
+                    only(eid % 97 == 0, row(400, F.col("value"))))
+    e = e.select(eid, "ts", "user_id", "event_type", F.inline(rows))
+    return e.select("event_id", (F.col("ts") + F.make_dt_interval(F.col("days"))).alias("ts"), "user_id",
+                    "event_type", "value")
 
 
 FIXTURES = {

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from quire.sources import fixtures, read_table
 from tests.conftest import SF_CHECK, SF_SMALL
 
 Q = entry.queries()
@@ -59,9 +60,20 @@ def test_als(spark):
 
 def test_random_sampling_sizes(spark):
     n = Q["sample_bernoulli"](spark, SF_CHECK).count()
-    assert 5000 < n < 7000
+    assert 0.08 < n / Q["split_sizes"](spark, SF_CHECK).agg(F.sum("rows")).first()[0] < 0.12
     sizes = {r["split"]: r["rows"] for r in Q["split_random_sizes"](spark, SF_CHECK).collect()}
-    assert sum(sizes.values()) == 60000 and 0.75 < sizes["train"] / 60000 < 0.85
+    total = fixtures.reviews_fx(spark, SF_CHECK).count()
+    assert sum(sizes.values()) == total and 0.75 < sizes["train"] / total < 0.85
+
+
+def test_views_keep_every_source_row(spark):
+    """The views' dirt is added: no row, value or text of the source tables is missing."""
+    for view, table, column in (("reviews_fx", "lineitem", None), ("books_fx", "part", None), ("docs_fx", "documents", "text"),
+                                ("gap_fx", "events", "value")):
+        have, source = fixtures.FIXTURES[view](spark, SF_SMALL), read_table(spark, SF_SMALL, table)
+        assert have.count() >= source.count()
+        if column:
+            assert source.select(column).exceptAll(have.select(column)).isEmpty()
 
 
 def test_report_schema(spark):
