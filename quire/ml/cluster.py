@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.ml.features import assemble, standardize
+from quire.operators.layout import stage_table
 
 
 def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -25,8 +25,11 @@ def prepare(df: DataFrame, cols: list[str], key: str) -> DataFrame:
 
 
 def segment(df: DataFrame, cols: list[str], key: str, k: int = 4, seed: int = 42, max_iter: int = 20):
-    """k-means (k-means|| start) on standardised ``cols``; returns (model, rows with ``cluster``)."""
-    data = prepare(df, cols, key).cache()
+    """k-means (k-means|| start) on standardised ``cols``; returns (model, rows with ``cluster``).
+
+    The prepared rows are written once to the shared folder: fitting and the returned rows read
+    that table, nothing stays cached. Runs when called."""
+    data = stage_table(prepare(df, cols, key), "segments")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(data)
     return model, model.transform(data).drop("features")
 
@@ -63,21 +66,34 @@ def cluster_profile(df: DataFrame, cols: list[str], cluster: str = "cluster", di
                                    F.count(F.lit(1)).alias("num_users"))
 
 
-def pca(df: DataFrame, cols: list[str], key: str, k: int = 2):
-    """PCA of the standardised columns. Returns (explained variance ratios,
-    rows with PC1..PCk). Each component's sign is fixed so that its largest
-    absolute loading is positive."""
-    data = prepare(df, cols, key)
-    model = PCA(k=k, inputCol="features", outputCol="pcs").fit(data)
-    loadings = model.pc.toArray()  # len(cols) x k, small
-    signs = []
-    for j in range(k):
-        col = loadings[:, j]
-        big = max(range(len(col)), key=lambda i: abs(col[i]))
-        signs.append(1.0 if col[big] >= 0 else -1.0)
-    scored = model.transform(data).withColumn("_pcs", vector_to_array("pcs"))
-    pcs = [(F.col("_pcs")[j] * signs[j]).alias(f"PC{j + 1}") for j in range(k)]
-    return list(model.explainedVariance.toArray()), scored.select("*", *pcs).drop("_pcs", "pcs", "features")
+def pca(df: DataFrame, cols: list[str], k: int = 2):
+    """PCA of the standardised columns over rows without null or NaN in them. Returns (explained
+    variance ratios, those rows with PC1..PCk).
+
+    Means, deviations and all covariances come from one aggregate, run when called; the eigenvectors of
+    the small correlation matrix are found on the driver, and the components are linear column
+    expressions, so no row is shuffled. Each component's sign is fixed so that its largest absolute
+    loading is positive. A constant column divides by 1. No rows: ratios and components are 0."""
+    x = [F.col(c).cast("double") for c in cols]
+    whole = df
+    for c in x:
+        whole = whole.where(c.isNotNull() & ~F.isnan(c))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    one = whole.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
+                    *[F.covar_pop(x[i], x[j]).alias(f"v{i}_{j}") for i, j in pairs]).first()
+    mean = [one[f"m{i}"] or 0.0 for i in range(len(cols))]
+    scale = [max(one[f"v{i}_{i}"] or 0.0, 0.0) ** 0.5 or 1.0 for i in range(len(cols))]
+    matrix = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        matrix[i, j] = matrix[j, i] = (one[f"v{i}_{j}"] or 0.0) / (scale[i] * scale[j])
+    values, vectors = np.linalg.eigh(matrix)  # rising
+    values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), range(vectors.shape[1])])
+    loadings = vectors * signs
+    total = np.trace(matrix)
+    scores = {f"PC{j + 1}": sum(((c - mean[i]) * float(loadings[i, j] / scale[i]) for i, c in enumerate(x)), F.lit(0.0))
+              for j in range(loadings.shape[1])}
+    return [float(v / total) if total else 0.0 for v in values], whole.withColumns(scores)
 
 
 def variance_table(spark: SparkSession, ratios: list[float]) -> DataFrame:

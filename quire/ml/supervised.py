@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 
 from quire.functions.scalar import tokens
 from quire.ml.features import assemble
-from quire.operators.layout import cache
+from quire.operators.layout import stage_table
 
 
-def text_features_stages(text: str, num_features: int = 10000):
+def text_features_stages(text: str, num_features: int = 10000, stopwords: list[str] | None = None):
     """Tokenizer (lower case, split on each white-space character) ->
-    stop-word removal -> hashed term frequencies -> IDF."""
+    stop-word removal (default: Spark ML's English list) -> hashed term frequencies -> IDF."""
+    chosen = {} if stopwords is None else {"stopWords": list(stopwords)}
     return [
         Tokenizer(inputCol=text, outputCol="tokens"),
-        StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens"),
+        StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens", **chosen),
         HashingTF(inputCol="filtered_tokens", outputCol="raw_features", numFeatures=num_features),
         IDF(inputCol="raw_features", outputCol="features"),
     ]
@@ -54,12 +55,12 @@ def idf_weights(df: DataFrame, text: str) -> DataFrame:
 
     The texts are read once: every document also contributes the empty
     string (never a token), whose document frequency is the document count.
-    The vocabulary-sized aggregate is cached so both uses share it.
+    The vocabulary-sized aggregate is written once so both uses share it.
     """
     docs = df.where(F.col(text).isNotNull())
     marked = F.array_union(F.array_distinct(tokens(text)), F.array(F.lit("")))
     words = docs.select(F.explode(marked).alias("word"))
-    dfreq = cache(words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq")), materialize=False)
+    dfreq = stage_table(words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq")), "vocabulary")
     n = dfreq.where(F.col("word") == "").select("doc_freq").scalar()
     return dfreq.where(F.col("word") != "").withColumn("idf", F.log((n + 1) / (F.col("doc_freq") + 1)))
 

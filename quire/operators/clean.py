@@ -53,10 +53,14 @@ def case_label(value: Column, rules: list[tuple[Column, object]], default: objec
     return expr.otherwise(F.lit(default))
 
 
-def score_label(score: str = "score", threshold: float = 4.0, pos: str = "positive", neg: str = "negative") -> Column:
-    """Binary label: score >= threshold -> pos, anything else (null included) -> neg."""
+def score_label(score: str = "score", threshold: float = 4.0, pos: str = "positive", neg: str = "negative",
+                drop_null_label: bool = False) -> Column:
+    """Binary label: score >= threshold -> pos, anything else (null included) -> neg.
+
+    ``drop_null_label`` leaves rows without a score without a label."""
     c = F.col(score)
-    return case_label(c, [(c >= threshold, pos)], neg)
+    rules = [(c.isNull(), None)] if drop_null_label else []
+    return case_label(c, [*rules, (c >= threshold, pos)], neg)
 
 
 def quantile_bounds(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
@@ -142,7 +146,7 @@ REVIEW_DEFAULTS = {
 
 def clean_items(df: DataFrame, key: str = "Title", count_col: str = "ratingsCount",
                 defaults: dict[str, object] | None = None, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
-    """Item table cleaning in one lazy plan: safe int cast of the count, drop
+    """Item table cleaning (the quantile bounds run when called): safe int cast of the count, drop
     rows without a key, fill missing fields (count -> 0), clamp the count to
     its exact lo/hi quantiles (double), drop identical rows."""
     fills = dict(ITEM_DEFAULTS if defaults is None else defaults)

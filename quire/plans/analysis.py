@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import reshape, stats, timeseries, topk
-from quire.operators.layout import cache
+from quire.operators.layout import stage_table
 from quire.plans.frames import ANALYSIS_SQL, analysis_frame
 from quire.plans.params import TOP_RATED_MIN, YEARS
 from quire.plans.registry import query, rounded
@@ -103,7 +103,7 @@ group by categories_s, review_year""")
 def trend_top_categories(spark, sf):
     # One pass: count per (category, year), then rank categories by their
     # summed counts on that small table and keep the top 10 (semi-join, <= 10 rows).
-    trend = cache(stats.count_by(analysis_frame(spark, sf), ["categories", "review_year"]), materialize=False)
+    trend = stage_table(stats.count_by(analysis_frame(spark, sf), ["categories", "review_year"]), "trend")
     top = (trend.groupBy("categories").agg(F.sum("review_count").alias("total"))
                 .orderBy(F.col("total").desc(), F.col("categories").asc_nulls_first()).limit(10))
     return trend.join(F.broadcast(top.select("categories")), "categories", "left_semi")

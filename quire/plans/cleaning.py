@@ -79,6 +79,13 @@ def case_score_label(spark, sf):
     return m.withColumn("sentiment_label", clean.score_label("score"))
 
 
+@query("case_score_label_nulls", """select review_id, score, case when score is null then null when score >= 4
+  then 'positive' else 'negative' end as sentiment_label from merged_fx""")
+def case_score_label_nulls(spark, sf):
+    m = fx.merged_fx(spark, sf).select("review_id", "score")
+    return m.withColumn("sentiment_label", clean.score_label("score", drop_null_label=True))
+
+
 @query("outlier_bounds_disc", """select quantile_disc(ratings_count, 0.01) as lower,
   quantile_disc(ratings_count, 0.99) as upper from merged_fx""")
 def outlier_bounds_disc(spark, sf):
@@ -234,9 +241,18 @@ def report_long_form(spark, sf):
     )
 
 
-@query("report_schema")
+_SCHEMA = {"review_id": "bigint", "user_id": "bigint", "item_id": "bigint", "score_raw": "string", "review_time": "bigint",
+           "review_ts": "timestamp_ntz", "review_length": "int", "title": "string", "authors": "string",
+           "categories": "string", "score": "double", "ratings_count": "double"}
+_SCHEMA_SQL = " union all\n".join(
+    f"select cast({i} as integer) as position, '{c}' as \"column\", '{t}' as type, "
+    f"count(*) filter (where {c} is null{' or isnan(' + c + ')' if t == 'double' else ''}) as nulls from merged_fx"
+    for i, (c, t) in enumerate(_SCHEMA.items()))
+
+
+@query("report_schema", _SCHEMA_SQL)
 def report_schema(spark, sf):
-    return report.schema_table(spark, fx.merged_fx(spark, sf), with_nulls=True)
+    return report.schema_table(spark, fx.merged_fx(spark, sf), with_nulls=True).drop("nullable")
 
 
 @query("stream_csv_ingest", """select doc_id, lang, source, text, score from docs_fx""")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quire.ml import cluster, features, recommend, supervised
 from quire.operators import clean, distribution, sampling, stats, text
-from quire.operators.layout import cache
-from quire.plans.params import LEXICON, TRAIN_SEED
+from quire.operators.layout import stage_table
+from quire.plans.params import LEXICON, STOPWORDS as ML_STOPWORDS, TRAIN_SEED
 from quire.plans.registry import query, rounded
 from quire.plans.samples import _bucket_sql
 from quire.plans.texts import _POLARITY_SQL, _tok
@@ -102,40 +102,40 @@ select 'PC1' as component, round((1 + abs(r)) / 2, 6) as explained_variance from
 union all select 'PC2', round((1 - abs(r)) / 2, 6) from c""")
 def pca_two_column_variance(spark, sf):
     m = clean.complete_cases(fx.merged_fx(spark, sf), ["review_id", "score", "review_length"])
-    ratios, _ = cluster.pca(m, ["score", "review_length"], "review_id", k=2)
+    ratios, _ = cluster.pca(m, ["score", "review_length"], k=2)
     return rounded(cluster.variance_table(spark, ratios), ["explained_variance"])
 
 
 @query("pca_scores")
 def pca_scores(spark, sf):
-    _, scores = cluster.pca(_users(spark, sf), FEAT, "user_id", k=2)
+    _, scores = cluster.pca(_users(spark, sf), FEAT, k=2)
     return scores.select("user_id", "PC1", "PC2")
 
 
+def _cluster_points(spark, sf):
+    """(user_id, PC1, PC2, cluster): the features are prepared once for the segments and the components."""
+    _, seg = cluster.segment(_users(spark, sf), FEAT, "user_id", k=4, seed=TRAIN_SEED)
+    _, points = cluster.pca(seg, FEAT, k=2)
+    return points.select("user_id", "PC1", "PC2", "cluster")
+
+
 @query("pca_cluster_grid")
 def pca_cluster_grid(spark, sf):
-    users = _users(spark, sf)
-    _, seg = cluster.segment(users, FEAT, "user_id", k=4, seed=TRAIN_SEED)
-    _, scores = cluster.pca(users, FEAT, "user_id", k=2)
-    both = scores.select("user_id", "PC1", "PC2").join(seg.select("user_id", "cluster"), "user_id")
-    both = cache(both)  # read by the bounds subqueries and the grid
-    return distribution.grid_density(both, "PC1", "PC2", 20, 20, by=["cluster"])
+    points = stage_table(_cluster_points(spark, sf), "points")  # read by the bounds subqueries and the grid
+    return distribution.grid_density(points, "PC1", "PC2", 20, 20, by=["cluster"])
 
 
 @query("pca_cluster_table")
 def pca_cluster_table(spark, sf):
     """(user_id, PC1, PC2, cluster): the points behind the cluster scatter."""
-    users = _users(spark, sf)
-    _, seg = cluster.segment(users, FEAT, "user_id", k=4, seed=TRAIN_SEED)
-    _, scores = cluster.pca(users, FEAT, "user_id", k=2)
-    return scores.select("user_id", "PC1", "PC2").join(seg.select("user_id", "cluster"), "user_id")
+    return _cluster_points(spark, sf)
 
 
 @query("pca_review_metrics")
 def pca_review_metrics(spark, sf):
     cols = ["score", "ratings_count", "review_length"]
     m = clean.complete_cases(fx.merged_fx(spark, sf), ["review_id", *cols])
-    ratios, scores = cluster.pca(m, cols, "review_id", k=2)
+    _, scores = cluster.pca(m, cols, k=2)
     return scores.select("review_id", "PC1", "PC2")
 
 
@@ -143,7 +143,8 @@ def pca_review_metrics(spark, sf):
 
 def _labelled_docs(spark, sf):
     d = fx.docs_fx(spark, sf).where(F.col("text").isNotNull() & F.col("score").isNotNull())
-    return d.withColumn("sentiment_label", clean.score_label("score"))
+    d = d.withColumn("sentiment_label", clean.score_label("score"))
+    return stage_table(d, "labelled")  # every fitting stage reads it
 
 
 def _doc_split(spark, sf):
@@ -168,15 +169,24 @@ def ml_model_roundtrip(spark, sf):
     return again.transform(test).select("doc_id", "prediction")
 
 
-@query("nlp_features")
+_ML_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ML_STOPWORDS) + "]"
+
+
+@query("nlp_features", f"""with d as (select doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text),
+  '[ \\t\\n\\r\\f\\x0B]+$', ''), '[ \\t\\n\\r\\f\\x0B]'), lambda t: not list_contains({_ML_STOP}, t)) as words
+  from docs_fx where text is not null)
+select doc_id, cast(len(words) as integer) as num_tokens, cast(len(list_distinct(words)) as integer) as num_terms,
+  cast(len(words) as double) as sum_frequencies from d""")
 def nlp_features(spark, sf):
     from pyspark.ml import Pipeline
     docs = fx.docs_fx(spark, sf).where(F.col("text").isNotNull())
-    model = Pipeline(stages=supervised.text_features_stages("text")).fit(docs)
-    out = model.transform(docs)
-    # distinct terms before hashing (native; the 10 000-wide vectors are never densified)
+    stages = supervised.text_features_stages("text", stopwords=ML_STOPWORDS)[:3]
+    out = Pipeline(stages=stages).fit(docs).transform(docs)
+    # the hashed frequencies are read from the sparse vectors, never densified
+    hashed = F.unwrap_udt("raw_features")["values"]
     return out.select("doc_id", F.size("filtered_tokens").alias("num_tokens"),
-                      F.size(F.array_distinct("filtered_tokens")).alias("num_terms"))
+                      F.size(F.array_distinct("filtered_tokens")).alias("num_terms"),
+                      F.aggregate(hashed, F.lit(0.0), lambda a, x: a + x).alias("sum_frequencies"))
 
 
 @query("accuracy_from_predictions", _POLARITY_SQL + """,
