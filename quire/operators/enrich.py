@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,16 +17,21 @@ def match_report(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """One row: left_rows, matched_rows, unmatched_rows, output_rows (after
     fan-out), dup_keys (right keys present more than once).
 
-    The right side is reduced to (key, multiplicity) before the join, so the
-    join output is one row per left row whatever the fan-out.
+    Both sides are reduced to (key, multiplicity) before the join, so a hot key
+    is one row on either side whatever the fan-out.
     """
     mult = right.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_m"))
     dups = mult.agg(F.count(F.when(F.col("_m") > 1, F.lit(1))).alias("dup_keys"))
-    j = left.select(on).join(mult, on, "left")
-    agg = j.agg(F.count(F.lit(1)).alias("left_rows"),
-                F.count("_m").alias("matched_rows"),
-                F.count(F.when(F.col("_m").isNull(), F.lit(1))).alias("unmatched_rows"),
-                F.sum(F.coalesce(F.col("_m"), F.lit(1))).cast("bigint").alias("output_rows"))
+    keys = left.groupBy(on).agg(F.count(F.lit(1)).alias("_l"))
+    j = keys.join(mult, on, "left")
+
+    def rows(n: Column, name: str) -> Column:
+        return F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(name)
+
+    agg = j.agg(rows(F.col("_l"), "left_rows"),
+                rows(F.when(F.col("_m").isNotNull(), F.col("_l")), "matched_rows"),
+                rows(F.when(F.col("_m").isNull(), F.col("_l")), "unmatched_rows"),
+                rows(F.col("_l") * F.coalesce(F.col("_m"), F.lit(1)), "output_rows"))
     return agg.select("*", dups.select("dup_keys").scalar().alias("dup_keys"))
 
 

@@ -81,11 +81,55 @@ def top_keywords(df: DataFrame, text: str, stopwords: list[str], k: int = 20,
     return top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
 
 
-def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200,
-                 by: list[str] | None = None, tokens_col: str | None = None) -> DataFrame:
-    """Word-cloud weights: top ``k`` words per group, weight = count / top count."""
+def pair_counts(df: DataFrame, text: str, stopwords: list[str], by: list[str] | None = None,
+                tokens_col: str | None = None) -> DataFrame:
+    """(by..., first, second, count) over pairs of neighbouring words, neither of them a stop word."""
+    by = list(by or [])
+    words = df.select(*by, (F.col(tokens_col) if tokens_col else tokens(text)).alias("_w"))
+    n = F.greatest(F.size("_w") - 1, F.lit(0))
+    both = F.arrays_zip(F.slice("_w", F.lit(1), n).alias("first"), F.slice("_w", F.lit(2), n).alias("second"))
+    pairs = words.select(*by, F.inline(both))
+    if stopwords:
+        stop = sorted(set(stopwords))
+        pairs = pairs.where(~F.col("first").isin(*stop) & ~F.col("second").isin(*stop))
+    return pairs.groupBy(*by, "first", "second").agg(F.count(F.lit(1)).alias("count"))
+
+
+def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
+    floor = F.lit(1e-10)
+    return F.log(F.greatest(x, floor)) * k + F.log(F.greatest(1 - x, floor)) * (n - k)
+
+
+def with_pairs(words: DataFrame, pairs: DataFrame, by: list[str], threshold: float = 30.0) -> DataFrame:
+    """Word counts with the pairs that stand together more often than chance (Dunning's log-likelihood
+    ratio above ``threshold``); a kept pair's uses no longer count for its words.
+
+    ``words`` is (by..., word, count), ``pairs`` as :func:`pair_counts` gives it. Works on the counted
+    vocabulary; word counts are joined to the pairs by their keys."""
+    total = words.groupBy(*by).agg(F.sum("count").alias("_n"))
+    first = words.select(*by, F.col("word").alias("first"), F.col("count").alias("_a"))
+    second = words.select(*by, F.col("word").alias("second"), F.col("count").alias("_b"))
+    p = pairs.join(first, [*by, "first"]).join(second, [*by, "second"])
+    p = p.join(total, by) if by else p.withColumn("_n", total.scalar())
+    c, a, b, n = F.col("count"), F.col("_a"), F.col("_b"), F.col("_n")
+    ratio = -2 * (_log_likelihood(c, a, b / n) + _log_likelihood(b - c, n - a, b / n)
+                  - _log_likelihood(c, a, c / a) - _log_likelihood(b - c, n - a, (b - c) / (n - a)))
+    kept = p.where((n > a) & (n > b)).where(ratio > threshold).select(*by, "first", "second", "count")
+    used = kept.select(*by, F.explode(F.array("first", "second")).alias("word"), (-F.col("count")).alias("count"))
+    both = kept.select(*by, F.concat_ws(" ", "first", "second").alias("word"), "count")
+    out = words.select(*by, "word", "count").unionByName(used).unionByName(both)
+    return out.groupBy(*by, "word").agg(F.sum("count").alias("count")).where(F.col("count") > 0)
+
+
+def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200, by: list[str] | None = None,
+                 tokens_col: str | None = None, bigrams: bool = False, threshold: float = 30.0) -> DataFrame:
+    """Word-cloud weights: top ``k`` words per group, weight = count / top count. ``bigrams`` adds
+    word pairs that belong together (:func:`with_pairs`); the counts are then written once."""
     by = list(by or [])
     counts = keyword_counts(df, text, stopwords, by, tokens_col)
+    if bigrams:
+        counts = stage_table(counts, "words")
+        counts = with_pairs(counts, pair_counts(df, text, stopwords, by, tokens_col), by, threshold)
     top = top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
     peak = F.max("count").over(Window.partitionBy(*by))  # over at most k rows per group
     return top.withColumn("weight", F.col("count") / peak)

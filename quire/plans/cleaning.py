@@ -17,7 +17,15 @@ DOC_COLS = ["doc_id", "lang", "source", "text", "score"]
 def src_csv_roundtrip(spark, sf):
     docs = fx.docs_fx(spark, sf).select(*DOC_COLS)
     path = write_csv(docs, scratch_path(spark, "csv"))
-    return read_csv(spark, path, schema=docs.schema)
+    return read_csv(spark, path, schema=docs.schema, multi_line=True)
+
+
+@query("src_csv_split", """select review_id, user_id, item_id, score_raw, review_length from reviews_fx""")
+def src_csv_split(spark, sf):
+    """The default reader: files split over tasks, quotes checked."""
+    rows = fx.reviews_fx(spark, sf).select("review_id", "user_id", "item_id", "score_raw", "review_length")
+    path = write_csv(rows, scratch_path(spark, "csv"))
+    return read_csv(spark, path, schema=rows.schema)
 
 
 @query("src_parquet_scan", """select l_orderkey, l_partkey, l_quantity from lineitem where l_quantity > 25""")
@@ -195,6 +203,28 @@ def profile_summary(spark, sf):
     return rounded(profile.summary(fx.merged_fx(spark, sf), _SUM_COLS), ["mean", "stddev"])
 
 
+_TEXT_SQL = " union all\n".join(
+    f"select '{c}' as \"column\", count(v) as count, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as stddev, min(v) as min, "
+    f"quantile_disc(v, 0.25) as p25, quantile_disc(v, 0.5) as p50, quantile_disc(v, 0.75) as p75, max(v) as max "
+    f"from (select try_cast({c} as double) as v from books_fx)" for c in ["title", "authors", "ratings_raw"])
+
+
+@query("profile_summary_text", _TEXT_SQL)
+def profile_summary_text(spark, sf):
+    """Text columns: values that are no numbers are left out, a column without any keeps its row."""
+    out = profile.summary(fx.books_fx(spark, sf), ["title", "authors", "ratings_raw"])
+    return rounded(out, ["mean", "stddev"])
+
+
+@query("quantiles_by_null_group", """select categories, p, cast(quantile_disc(ratings, 0.5) as double) as value from (
+  select categories, 0.5::double as p, try_cast(ratings_raw as double) as ratings from books_fx)
+where ratings is not null group by categories, p""")
+def quantiles_by_null_group(spark, sf):
+    from quire.operators.quantile import quantiles_long
+    b = fx.books_fx(spark, sf).select("categories", F.col("ratings_raw").try_cast("double").alias("ratings"))
+    return quantiles_long(b.where("ratings is not null"), "ratings", [0.5], by=["categories"]).select("categories", "p", "value")
+
+
 @query("profile_summary_approx")
 def profile_summary_approx(spark, sf):
     """Same table with approximate percentiles (one pass, bounded sketches)."""
@@ -261,7 +291,7 @@ def stream_csv_ingest(spark, sf):
     docs = fx.docs_fx(spark, sf).select(*DOC_COLS)
     landing = write_csv(docs, scratch_path(spark, "landing"))
     out = scratch_path(spark, "ingested")
-    ingest_csv_stream(spark, landing, docs.schema, out)
+    ingest_csv_stream(spark, landing, docs.schema, out, multi_line=True)
     return spark.read.schema(docs.schema).parquet(out)
 
 

@@ -43,6 +43,18 @@ def split_random_sizes(spark, sf):
             .groupBy("split").agg(F.count(F.lit(1)).alias("rows")))
 
 
+@query("split_string_key", """select count(*) as rows, count(distinct title) as titles, cast(0 as bigint) as titles_in_both
+from merged_fx""")
+def split_string_key(spark, sf):
+    """A split keyed on text with nulls: every row is in one part, every title in one."""
+    m = fx.merged_fx(spark, sf).select("title")
+    parts = sampling.split_label(m, {"train": 0.8, "test": 0.2}, TRAIN_SEED, "title")
+    per = parts.where("split is not null").groupBy("title").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("split").alias("parts"))
+    return per.agg(F.sum("n").alias("rows"), F.count("title").alias("titles"),
+                   F.count(F.when(F.col("parts") > 1, 1)).alias("titles_in_both"))
+
+
 @query("merge_left", """select r.review_id, r.item_id, b.title, b.categories, r.score_raw
 from reviews_fx r left join books_fx b on r.item_id = b.item_id""")
 def merge_left(spark, sf):

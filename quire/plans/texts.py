@@ -80,3 +80,32 @@ def term_weights(spark, sf):
     lab = _classified(spark, sf, keep_text=False, tokens_out="words")
     out = text.term_weights(lab, "text", STOPWORDS, 200, by=["sentiment"], tokens_col="words")
     return rounded(out.select("sentiment", "word", "count", "weight"), ["weight"])
+
+
+def _llr_sql(k: str, n: str, x: str) -> str:
+    return f"(ln(greatest({x}, 1e-10)) * ({k}) + ln(greatest(1 - {x}, 1e-10)) * (({n}) - ({k})))"
+
+
+_PAIR_SCORE = (f"-2 * ({_llr_sql('p.c', 'a.count', 'b.count / t.n')} + {_llr_sql('b.count - p.c', 't.n - a.count', 'b.count / t.n')}"
+               f" - {_llr_sql('p.c', 'a.count', 'p.c / a.count')}"
+               f" - {_llr_sql('b.count - p.c', 't.n - a.count', '(b.count - p.c) / (t.n - a.count)')})")
+
+
+@query("term_weights_bigrams", _LABEL_WORDS_SQL + f""",
+dw as (select sentiment, {_tok('d.text')} as words from lab join d on lab.doc_id = d.doc_id),
+pr as (select sentiment, unnest(list_zip(words[1:len(words) - 1], words[2:])) as w from dw where len(words) > 1),
+pc as (select sentiment, w[1] as first, w[2] as second, count(*) as c from pr
+  where not list_contains({stopwords_sql()}, w[1]) and not list_contains({stopwords_sql()}, w[2]) group by all),
+t as (select sentiment, sum(count) as n from c group by sentiment),
+kept as (select p.* from pc p join c a on a.sentiment = p.sentiment and a.word = p.first
+  join c b on b.sentiment = p.sentiment and b.word = p.second join t on t.sentiment = p.sentiment
+  where t.n > a.count and t.n > b.count and {_PAIR_SCORE} > 30),
+u as (select sentiment, word, count from c union all select sentiment, first, -c from kept
+  union all select sentiment, second, -c from kept union all select sentiment, first || ' ' || second, c from kept),
+f as (select sentiment, word, cast(sum(count) as bigint) as count from u group by sentiment, word having sum(count) > 0),
+r as (select *, row_number() over (partition by sentiment order by count desc, word asc) as rank from f)
+select sentiment, word, count, round(count / max(count) over (partition by sentiment), 6) as weight from r where rank <= 200""")
+def term_weights_bigrams(spark, sf):
+    lab = _classified(spark, sf, keep_text=False, tokens_out="words")
+    out = text.term_weights(lab, "text", STOPWORDS, 200, by=["sentiment"], tokens_col="words", bigrams=True)
+    return rounded(out.select("sentiment", "word", "count", "weight"), ["weight"])

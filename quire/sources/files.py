@@ -3,28 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.session import session_key
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             strict_quotes: bool = True, header: bool = True) -> DataFrame:
+def _odd_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether some line has an odd number of quotes, so that a quoted field runs over a line break."""
+    lines = spark.read.text(path)
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, strict_quotes: bool = True,
+             header: bool = True, multi_line: bool = False, check: bool = True, infer: bool = True) -> DataFrame:
     """Read delimited text with a header.
 
-    ``strict_quotes`` (default) follows RFC 4180: doubled quotes inside a
-    quoted field and embedded line breaks stay in one field. ``False`` is the
-    plain reader, which shifts columns on such rows. Without a schema the
-    types are inferred (an extra pass over the input); pass a schema in
-    production.
+    ``strict_quotes`` (default) follows RFC 4180: doubled quotes inside a quoted field. ``False`` is the
+    plain reader, which shifts columns on such rows. Large files are split over many tasks. Line breaks
+    inside quoted fields need ``multi_line``, which reads each file in one task; without it such files
+    raise ValueError, as one more pass over the lines finds an odd number of quotes (``check=False``
+    leaves that pass out). Without a schema the types are inferred (another pass), or all columns are
+    text with ``infer=False``; pass a schema in production.
     """
     reader = spark.read.option("header", header)
     if strict_quotes:
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+        reader = reader.option("quote", '"').option("escape", '"')
+        if multi_line:
+            reader = reader.option("multiLine", True)
+        elif check and _odd_quotes(spark, path):
+            raise ValueError(f"{path}: quotes open at the end of a line; read it with multi_line=True")
     if schema is not None:
         reader = reader.schema(schema)
     else:
-        reader = reader.option("inferSchema", True)
+        reader = reader.option("inferSchema", infer)
     return reader.csv(path)
 
 

@@ -18,15 +18,16 @@ from quire.session import scratch_path
 
 def ingest_csv_stream(spark: SparkSession, landing: str, schema: StructType, out: str,
                       checkpoint: str | None = None, strict_quotes: bool = True,
-                      max_files_per_trigger: int | None = None, available_now: bool = True):
+                      max_files_per_trigger: int | None = None, available_now: bool = True, multi_line: bool = False):
     """Start (and, with ``available_now``, finish) a CSV -> parquet stream.
 
-    A streaming file source needs the schema up front (no inference).
+    A streaming file source needs the schema up front (no inference). ``multi_line`` allows line breaks
+    inside quoted fields; each file is then one task.
     Returns the finished (or running) StreamingQuery.
     """
     reader = spark.readStream.schema(schema).option("header", True)
     if strict_quotes:
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.csv(landing)
