@@ -115,6 +115,7 @@ _DOC_TEST = f"""td as (select case when score >= 4 then 'positive' else 'negativ
 select count(*) as n_test, greatest(count(*) filter (where label = 'positive'), count(*) filter (where label = 'negative'))
   as majority, true as reaches_majority from td""")
 def classifier_checks(spark, sf):
+    """Right at least as often as the larger label; needs more than a handful of labelled documents."""
     train, test = M._doc_split(spark, sf)
     scored = supervised.sentiment_classifier(train, "text", "sentiment_label").transform(test)
     one = scored.agg(F.count(F.lit(1)).alias("n_test"),

@@ -59,8 +59,9 @@ def fn_round(spark, sf):
                                     F.round(F.avg("review_length"), 4).alias("avg_length_4"))
 
 
-@query("fn_year_to_date_dirty", """select item_id, make_date(y, 1, 1) as published from (select item_id,
-  case when try_cast(ratings_raw as integer) between 1 and 9999 then try_cast(ratings_raw as integer) end as y from books_fx)""")
+@query("fn_year_to_date_dirty", """select item_id, cast(make_date(try_cast('19' || lpad(ratings_raw, 2, '0') as integer), 1, 1)
+  as timestamp) as published from books_fx""")
 def fn_year_to_date_dirty(spark, sf):
     """Text that is no year, and null, give null."""
-    return fx.books_fx(spark, sf).select("item_id", scalar.year_to_date("ratings_raw").alias("published"))
+    year = F.concat(F.lit("19"), F.lpad("ratings_raw", 2, "0"))
+    return fx.books_fx(spark, sf).select("item_id", scalar.year_to_date(year).cast("timestamp_ntz").alias("published"))

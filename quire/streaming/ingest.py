@@ -18,11 +18,12 @@ from quire.session import scratch_path
 
 def ingest_csv_stream(spark: SparkSession, landing: str, schema: StructType, out: str,
                       checkpoint: str | None = None, strict_quotes: bool = True,
-                      max_files_per_trigger: int | None = None, available_now: bool = True, multi_line: bool = False):
+                      max_files_per_trigger: int | None = None, available_now: bool = True, multi_line: bool = True):
     """Start (and, with ``available_now``, finish) a CSV -> parquet stream.
 
-    A streaming file source needs the schema up front (no inference). ``multi_line`` allows line breaks
-    inside quoted fields; each file is then one task.
+    A streaming file source needs the schema up front (no inference). ``multi_line`` (default, as files
+    still to come cannot be checked) allows line breaks inside quoted fields; each file is then one task.
+    Without it, files are split, and a field with a line break would become two rows.
     Returns the finished (or running) StreamingQuery.
     """
     reader = spark.readStream.schema(schema).option("header", True)

@@ -202,7 +202,7 @@ def test_csv_strict_quotes_keep_columns(spark, tmp_path):
     from quire.sources import read_csv
     path = tmp_path / "q.csv"
     path.write_text('id,text,n\n1,"say ""hi"", then\nnew line",5\n2,plain,6\n')
-    strict = read_csv(spark, str(path), schema="id int, text string, n int").orderBy("id").collect()
+    strict = read_csv(spark, str(path), schema="id int, text string, n int", multi_line=True).orderBy("id").collect()
     assert [r["n"] for r in strict] == [5, 6] and strict[0]["text"] == 'say "hi", then\nnew line'
     raw = read_csv(spark, str(path), schema="id int, text string, n int", strict_quotes=False).collect()
     assert len(raw) != 2 or [r["n"] for r in raw] != [5, 6]  # the plain reader splits or shifts the row
@@ -212,7 +212,7 @@ def test_csv_to_parquet_roundtrip(spark, tmp_path):
     from quire.sources import csv_to_parquet, write_csv
     df = spark.createDataFrame([(1, 'a "q", b\nc', 2.5), (2, None, None)], "id int, t string, x double")
     src = write_csv(df, str(tmp_path / "in"))
-    out = csv_to_parquet(spark, src, str(tmp_path / "out"), schema=df.schema, partitions=1)
+    out = csv_to_parquet(spark, src, str(tmp_path / "out"), schema=df.schema, partitions=1, multi_line=True)
     back = spark.read.parquet(out).orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, 'a "q", b\nc', 2.5), (2, None, None)]
 
@@ -358,7 +358,7 @@ def test_scored_tokens_equal_tokens(spark):
     lex = spark.createDataFrame([("the", 1.0)], "word string, polarity double")
     arrow = text.polarity(docs, "text", lex, tokens_out="words")
     cmp = arrow.select("doc_id", "words", scalar.tokens("text").alias("jvm"))
-    assert cmp.count() == 1000
+    assert cmp.count() == docs.count()
     bad = cmp.where(~F.equal_null(F.col("words"), F.col("jvm"))).count()
     assert bad == 0
     assert cmp.where(F.col("words").isNull()).count() == docs.where(F.col("text").isNull()).count()
