@@ -57,20 +57,20 @@ def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def segments(text: bytes, overlap: int, limit: int = SLAB_BYTES) -> Iterator[tuple[int, bytes]]:
-    """Cut a text at word boundaries into (index of the first word, bytes) of about ``limit`` bytes.
+def segments(text: bytes, overlap: int, limit: int = SLAB_BYTES) -> Iterator[tuple[int, bool, bytes]]:
+    """Cut a text at word boundaries into (index of the first word, is it the last segment, bytes) of about ``limit`` bytes.
 
     Each segment repeats the last ``overlap`` words before it, so every window of ``overlap + 1``
     words lies inside exactly one segment; memory stays bounded for texts of any length."""
     if len(text) <= limit:
-        yield 0, text
+        yield 0, True, text
         return
     base, start, carry = 0, 0, []
     while start < len(text):
         cut = _SPACE.search(text, min(start + limit, len(text)))
         end = cut.start() if cut else len(text)
         words = carry + text[start:end].split()
-        yield base, b" ".join(words)
+        yield base, end == len(text), b" ".join(words)
         carry = words[-overlap:] if overlap else []
         base += len(words) - len(carry)
         start = end
@@ -79,15 +79,15 @@ def segments(text: bytes, overlap: int, limit: int = SLAB_BYTES) -> Iterator[tup
 def slabs(texts: list[bytes], overlap: int, limit: int = SLAB_BYTES) -> Iterator[tuple[np.ndarray, list, list]]:
     """Join the segments of many texts into byte buffers of about ``limit`` bytes.
 
-    Yields (buffer, offset of each segment, (text index, first word) of each segment)."""
+    Yields (buffer, offset of each segment, (text index, first word, is it the text's last) of each segment)."""
     parts, starts, owners, size = [], [], [], 0
     for i, text in enumerate(texts):
-        for base, part in segments(text, overlap, limit):
+        for base, last, part in segments(text, overlap, limit):
             if parts and size + len(part) > limit:
                 yield np.frombuffer(b"\n".join(parts), np.uint8), starts, owners
                 parts, starts, owners, size = [], [], [], 0
             starts.append(size)
-            owners.append((i, base))
+            owners.append((i, base, last))
             parts.append(part)
             size += len(part) + 1
     if parts:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix, segments, shuffle_partitions, text_of, word_bounds, word_hashes
+from quire.llm.common import SLAB_BYTES, mix, segments, shuffle_partitions, text_of, word_bounds, word_hashes
 
 EXACT = 32
 LANES = 64
@@ -54,24 +54,41 @@ class Fingerprint:
         return float(min(1.0, max(0.0, 2 * (a @ b) / size))) if size else 0.0
 
 
-def of_paragraphs(paragraphs: list[bytes]) -> Fingerprint:
-    """The fingerprint of a multiset of paragraphs."""
+def _pieces(paragraphs: list[bytes], limit: int) -> Iterator[tuple[bool, bytes]]:
+    """(goes on, bytes): whole paragraphs, one per line, of up to about ``limit`` bytes; a longer paragraph is cut into
+    segments, each but the first repeating one word (``goes on``). No piece depends on other paragraphs."""
+    group, size = [], 0
+    for p in paragraphs:
+        if group and size + len(p) > limit:
+            yield False, b"\n".join(group)
+            group, size = [], 0
+        if len(p) <= limit:
+            group.append(p)
+            size += len(p) + 1
+            continue
+        goes_on = False
+        for _, _, part in segments(p, 1, limit):
+            yield goes_on, part
+            goes_on = goes_on or len(part) > 0  # leading white space leaves no word to repeat
+    if group:
+        yield False, b"\n".join(group)
+
+
+def of_paragraphs(paragraphs: list[bytes], limit: int = SLAB_BYTES) -> Fingerprint:
+    """The fingerprint of a multiset of paragraphs; ``limit`` bounds the bytes hashed at once, not the result."""
     digests = b"".join(hashlib.sha512(p).digest() for p in paragraphs)
     exact = np.frombuffer(digests, "<u2").reshape(-1, EXACT).sum(axis=0, dtype=np.uint64).astype(np.uint16)
     ones, units = np.zeros(LANES, np.int64), 0
-    for base, part in segments(b"\n".join(paragraphs), 1):
+    for goes_on, part in _pieces(paragraphs, limit):
         buf = np.frombuffer(part, np.uint8)
         starts, ends = word_bounds(buf)
         if not len(starts):
             continue
         words = word_hashes(buf, starts, ends)
-        if base:  # a long text goes on: its first word was counted before, and line ends inside are spaces now
-            together = np.ones(len(words) - 1, bool)
-        else:
-            line = np.cumsum(buf == 10)[starts]
-            together = line[1:] == line[:-1]
+        line = np.cumsum(buf == 10)[starts]
+        together = line[1:] == line[:-1]
         pairs = mix(words[:-1] * np.uint64(3) + words[1:])[together]
-        for hashes in (words[1:] if base else words, pairs):
+        for hashes in (words[1:] if goes_on else words, pairs):
             for at in range(0, len(hashes), 1 << 16):
                 block = hashes[at:at + (1 << 16)]
                 ones += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)

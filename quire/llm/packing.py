@@ -73,7 +73,7 @@ def encode(text: bytes, path: str) -> bytes:
     words = _words.get(path)
     if words is None:
         words = _words[path] = _Words(path)
-    return b"".join(b"".join(map(words.__getitem__, part.split())) for _, part in segments(text, 0))
+    return b"".join(b"".join(map(words.__getitem__, part.split())) for _, _, part in segments(text, 0))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text",

@@ -154,6 +154,23 @@ def test_fingerprints_are_homomorphic():
     assert multiset_hash.Fingerprint.parse(both.hex()).likeness(both) == 1.0
 
 
+def test_fingerprints_do_not_depend_on_the_slab():
+    a = [b"one two three", b"", b"four " * 9 + b"five", b"  " * 40 + b"six seven", b"x" * 90 + b" y z", b"eight"]
+    whole = multiset_hash.of_paragraphs(a)
+    for limit in (1, 7, 20, 64):
+        assert multiset_hash.of_paragraphs(a, limit).hex() == whole.hex()
+        assert multiset_hash.of_paragraphs(a[::-1], limit).hex() == whole.hex()
+
+
+def test_edits_and_order_of_texts_over_a_slab():
+    lines = [f"line {i} of {i * i % 89} words and {i % 7}" for i in range(50_000)]
+    text, turned = "\n".join(lines), "\n".join(reversed(lines))
+    mark = multiset_hash.of_text(text)
+    assert len(text) > 1 << 20 and multiset_hash.of_text(turned).hex() == mark.hex()
+    edited, after = multiset_hash._edit(text, mark, "a new end\nof two lines " * 9)
+    assert after.hex() == multiset_hash.of_text(edited).hex() and after.hex() != mark.hex()
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a.b/c d\r\n?q", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "v", ""), (5, "w", "a\r\n\r\nWARC/1.1\r\n\r\nb"),
              (7, "x", "<p>é</p>"), (7, "x", "<p>é</p>"), (None, "z", "only"), (None, "z", "<p>é</p>")]
