@@ -53,7 +53,8 @@ def text_fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
         first = np.flatnonzero(whole)
         final = last[first]
         short = np.flatnonzero((per_seg > 0) & (per_seg < shingle)) if shingle > 1 else np.empty(0, np.int64)
-        short = np.array([s for s in short if owners[s][1] == 0], np.int64)
+        # the whole text is short: its last segment still holds its first word
+        short = np.array([s for s in short if owners[s][1] == 0 and owners[s][2]], np.int64)
         if len(short):
             begin = np.searchsorted(seg, short)
             first = np.concatenate([first, begin])

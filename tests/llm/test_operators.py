@@ -90,6 +90,14 @@ def test_simhash_components(docs, none, spark):
     assert kept.columns == docs.columns and kept.count() == len(set(label))
 
 
+def test_simhash_of_texts_over_a_slab(monkeypatch):
+    import quire.llm.common as common
+    texts = ["x" * 90 + " b c d e f", "  " * 60 + "one", "a " + "y" * 80 + " b", "a b " + "z" * 99, "a b c d" + " " * 90,
+             " ".join(f"w{i * i % 31}" for i in range(300)), "k" * 200, " " * 150, "a b c" + "\n" * 70 + "d", "short one"]
+    monkeypatch.setattr(simhash, "slabs", lambda texts, overlap: common.slabs(texts, overlap, 30))
+    assert simhash.text_fingerprints([t.encode() for t in texts]).tolist() == [bits(t) for t in texts]
+
+
 def test_links_between_tiles_and_chains(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 40)
