@@ -132,3 +132,13 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return rolling(buf.astype(np.uint64) + np.uint64(1), starts, ends)
+
+
+def other_word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A second hash of the words, from scrambled (byte, place in the word) pairs instead of powers."""
+    first = np.zeros(len(buf), np.int64)
+    first[starts] = starts
+    place = (np.arange(len(buf)) - np.maximum.accumulate(first)).astype(np.uint64)
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(mix((place << np.uint64(8)) + buf + np.uint64(1)), out=sums[1:])
+    return mix(sums[ends] - sums[starts])

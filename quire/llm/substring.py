@@ -4,7 +4,8 @@ Rabin-Karp hashes of all windows are computed in numpy over whole texts. For the
 anchor: the smallest hash among the short word runs inside the window. Equal windows have equal anchors at equal
 offsets, so the windows of one anchor travel in one compact row and meet all their copies in one group. Before the
 shuffle each batch settles its own repeats (only the first copy travels), which keeps groups of very many copies
-small. Sorted rows are then read as a stream; every window after the first of its kind becomes a removal
+small. The windows of an anchor with very many neighbourhoods travel one by one instead, keyed by their own hash, so no
+task gets them all. Two windows are equal if two independent hashes are. Sorted rows are then read as a stream; every window after the first of its kind becomes a removal
 interval, and the intervals of a document merge when its words are cut."""
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import rolling, shuffle_partitions, slabs, text_of, word_bounds, word_hashes
+from quire.llm.common import (mix, other_word_hashes, rolling, shuffle_partitions, slabs, text_of, word_bounds,
+                              word_hashes)
 
 WINDOW = 20
 ANCHOR = 8
-HASH_BYTES = 5  # of a window, beside the 8 of its anchor and its offset from it
+HASH_BYTES = 12  # of a window: 8 and 4 of two independent hashes, beside the 8 of its anchor and its offset from it
+HOT_ROWS = 1 << 16  # of one anchor; beyond, its windows are dealt one by one
+HOT_SAMPLE = 16  # one document in so many is looked at for hot anchors, which sets the layout and no result
+HOT_MOST = 10_000  # hot anchors, so the list stays small
 COMBINE_BYTES = 8 << 20  # text whose repeats are settled before the shuffle
 NO_ID = -(1 << 63)
 
@@ -37,7 +42,7 @@ def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _windows(texts: list[bytes], window: int, anchor: int):
-    """Arrays over all windows: text index, first word, hash, anchor hash, anchor offset."""
+    """Arrays over all windows: text index, first word, hash, second hash, anchor hash, anchor offset."""
     span = window - anchor + 1
     found = []
     for buf, offsets, owners in slabs(texts, window - 1):
@@ -49,6 +54,7 @@ def _windows(texts: list[bytes], window: int, anchor: int):
         seg = np.searchsorted(offsets, starts, side="right") - 1
         first = np.arange(n - window + 1)
         whole = rolling(words, first, first + window)
+        other = (rolling(other_word_hashes(buf, starts, ends), first, first + window) >> np.uint64(32)).astype(np.uint32)
         run = np.arange(n - anchor + 1)
         short = rolling(words, run, run + anchor)
         at = np.lib.stride_tricks.sliding_window_view(short, span).argmin(axis=1)
@@ -57,20 +63,22 @@ def _windows(texts: list[bytes], window: int, anchor: int):
         own = seg[first]
         begin = np.searchsorted(seg, np.arange(len(owners)))
         base = np.array([o[1] for o in owners]) - begin
-        found.append((np.array([o[0] for o in owners])[own], first + base[own], whole[first],
+        found.append((np.array([o[0] for o in owners])[own], first + base[own], whole[first], other[first],
                       short[first + at[first]], at[first]))
     if not found:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),)
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint64)) + (np.empty(0, np.int64),)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _combine(docs: np.ndarray, versions: np.ndarray, texts: list[bytes], window: int, anchor: int) -> pa.RecordBatch:
-    """Rows for the shuffle out of some texts, in order of (doc, version): the windows' first copies by anchor, and
-    the intervals of the repeats among these texts (``stop`` over 0)."""
-    text, start, whole, anchors, offset = _windows(texts, window, anchor)
-    # texts come sorted, windows in order, so a stable sort by hash keeps the earliest copy first
-    order = np.argsort(whole, kind="stable")
-    same = (whole[order][1:] == whole[order][:-1]) & (anchors[order][1:] == anchors[order][:-1])
+def _combine(docs: np.ndarray, versions: np.ndarray, texts: list[bytes], window: int, anchor: int,
+             hot: np.ndarray) -> pa.RecordBatch:
+    """Rows for the shuffle out of some texts, in order of (doc, version): the windows' first copies by anchor (one by
+    one for ``hot`` anchors, keyed by the window's hash), and the intervals of the repeats among these texts (``stop``
+    over 0)."""
+    text, start, whole, other, anchors, offset = _windows(texts, window, anchor)
+    # texts come sorted, windows in order, so a stable sort by hashes keeps the earliest copy first
+    order = np.lexsort((other, whole))
+    same = (whole[order][1:] == whole[order][:-1]) & (other[order][1:] == other[order][:-1])
     head = np.flatnonzero(np.concatenate(([True], ~same))) if len(order) else np.empty(0, np.int64)
     lead = np.repeat(order[head], np.diff(np.append(head, len(order))))
     # a repeated row of the table is the same document, not an earlier one
@@ -81,6 +89,8 @@ def _combine(docs: np.ndarray, versions: np.ndarray, texts: list[bytes], window:
     later = np.zeros(len(order), bool)
     later[order] = order != lead
     kept, gone = np.flatnonzero(~later), np.flatnonzero(repeat)
+    alone = np.isin(anchors, hot)
+    key = np.where(alone, mix(anchors * np.uint64(3) + whole), anchors)
 
     def runs(rows: np.ndarray, *same: np.ndarray) -> np.ndarray:
         change = np.ones(len(rows), bool)
@@ -90,7 +100,7 @@ def _combine(docs: np.ndarray, versions: np.ndarray, texts: list[bytes], window:
                 change[1:] |= np.diff(values[rows]) != 0
         return np.flatnonzero(change)
 
-    a = runs(kept, start + offset)
+    a = runs(kept, np.where(alone, -start, start + offset))
     size = np.diff(np.append(a, len(kept)))
     data = np.zeros(len(a) + len(kept) * HASH_BYTES, np.uint8)
     ends = np.cumsum(1 + size * HASH_BYTES)
@@ -98,20 +108,22 @@ def _combine(docs: np.ndarray, versions: np.ndarray, texts: list[bytes], window:
     data[begins] = offset[kept[a]]
     body = np.ones(len(data), bool)
     body[begins] = False
-    data[body] = whole[kept].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].reshape(-1)
+    hashes = np.concatenate([whole[kept].astype("<u8").view(np.uint8).reshape(-1, 8),
+                             other[kept].astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1)
+    data[body] = hashes.reshape(-1)
     b = runs(gone)
     tail = gone[np.append(b[1:], len(gone)) - 1] if len(gone) else gone
     rows = np.concatenate([kept[a], gone[b]])
     stop = np.concatenate([np.zeros(len(a), np.int32), (start[tail] + window).astype(np.int32)])
     # finished intervals travel with the rest, spread by a hash of their place
-    key = np.concatenate([anchors[kept[a]], whole[gone[b]]]).view(np.int64)
+    key = np.concatenate([key[kept[a]], whole[gone[b]]]).view(np.int64)
     blobs = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.concatenate(
         [[0], ends, np.full(len(b), ends[-1] if len(ends) else 0)]).astype(np.int32)), pa.py_buffer(data)])
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(docs[text[rows]]), pa.array(versions[text[rows]]),
                                        pa.array(start[rows].astype(np.int32)), pa.array(stop), blobs], schema=_ROWS)
 
 
-def _emit(window: int, anchor: int):
+def _emit(window: int, anchor: int, hot: np.ndarray):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column("doc").to_numpy()
@@ -121,7 +133,7 @@ def _emit(window: int, anchor: int):
             group, size = [], 0
             for i in order + [None]:
                 if i is None or (group and size + len(texts[i]) > COMBINE_BYTES):
-                    out = _combine(docs[group], versions[group], [texts[g] for g in group], window, anchor)
+                    out = _combine(docs[group], versions[group], [texts[g] for g in group], window, anchor, hot)
                     for at in range(0, out.num_rows, 50_000):
                         yield out.slice(at, 50_000)
                     group, size = [], 0
@@ -136,7 +148,7 @@ def _settle(window: int):
 
     Between batches only the first copies of the last anchor are kept."""
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # of the last anchor: anchor, and arrays key, doc, version, start
+        held = None  # of the last anchor: anchor, and arrays key, second key, doc, version, start
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -154,13 +166,13 @@ def _settle(window: int):
             size = (np.diff(ends) - 1) // HASH_BYTES
             body = np.ones(len(data), bool)
             body[begins] = False
-            wide = np.zeros((int(size.sum()), 8), np.uint8)
-            wide[:, :HASH_BYTES] = data[body].reshape(-1, HASH_BYTES)
+            wide = data[body].reshape(-1, HASH_BYTES)
             row = np.repeat(np.arange(len(size)), size)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            # offset of the anchor in the window and the window's hash
+            # the window's hash; its second hash and the offset of the anchor in it
             offset = data[begins][row].astype(np.int64) - nth
-            key = wide.view("<u8").reshape(-1) | (offset.astype(np.uint64) << np.uint64(8 * HASH_BYTES))
+            key = np.ascontiguousarray(wide[:, :8]).view("<u8").reshape(-1)
+            second = np.ascontiguousarray(wide[:, 8:]).view("<u4").reshape(-1) | (offset.astype(np.uint64) << np.uint64(32))
             anchors = batch.column("anchor").to_numpy()[row]
             docs = batch.column("doc").to_numpy()[row]
             versions = batch.column("version").to_numpy()[row]
@@ -168,11 +180,12 @@ def _settle(window: int):
             old = 0
             if held is not None and held[0] == anchors[0]:
                 old = len(held[1])
-                key, docs = np.concatenate([held[1], key]), np.concatenate([held[2], docs])
-                versions, start = np.concatenate([held[3], versions]), np.concatenate([held[4], start])
+                key, second = np.concatenate([held[1], key]), np.concatenate([held[2], second])
+                docs, versions = np.concatenate([held[3], docs]), np.concatenate([held[4], versions])
+                start = np.concatenate([held[5], start])
                 anchors = np.concatenate([np.full(old, held[0]), anchors])
-            order = np.lexsort((np.arange(len(key)), key, anchors))
-            same = (key[order][1:] == key[order][:-1]) & (anchors[order][1:] == anchors[order][:-1])
+            order = np.lexsort((np.arange(len(key)), second, key, anchors))
+            same = (key[order][1:] == key[order][:-1]) & (second[order][1:] == second[order][:-1]) & (anchors[order][1:] == anchors[order][:-1])
             head = np.flatnonzero(np.concatenate(([True], ~same)))
             lead = np.repeat(order[head], np.diff(np.append(head, len(order))))
             repeat = np.zeros(len(order), bool)
@@ -180,7 +193,7 @@ def _settle(window: int):
                                                 & (start[order] == start[lead]))
             firsts = np.sort(order[head])
             firsts = firsts[anchors[firsts] == anchors[-1]]
-            held = (anchors[-1], key[firsts], docs[firsts], versions[firsts], start[firsts])
+            held = (anchors[-1], key[firsts], second[firsts], docs[firsts], versions[firsts], start[firsts])
             gone = np.flatnonzero(repeat[old:]) + old
             if not len(gone):
                 continue
@@ -194,11 +207,29 @@ def _settle(window: int):
     return settle
 
 
+def hot_anchors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot_rows: int = HOT_ROWS,
+                sample: int = HOT_SAMPLE) -> np.ndarray:
+    """Anchors of over about ``hot_rows`` rows, the most frequent ones first; ``docs``: (doc, version, text)."""
+    emit = _emit(window, anchor, np.empty(0, np.uint64))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in emit(batches):
+            found, n = np.unique(batch.column("anchor").to_numpy()[batch.column("stop").to_numpy() == 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["anchor", "n"])
+
+    some = docs.where(F.col("version") % sample == 0).mapInArrow(counted, "anchor long, n long")
+    many = some.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") * sample > hot_rows)
+    rows = many.orderBy(F.col("n").desc(), "anchor").limit(HOT_MOST).collect()
+    return np.array([r["anchor"] for r in rows], np.int64).view(np.uint64)
+
+
 def removal_intervals(docs: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW,
-                      anchor: int = ANCHOR) -> DataFrame:
+                      anchor: int = ANCHOR, hot_rows: int = HOT_ROWS, sample: int = HOT_SAMPLE) -> DataFrame:
     """(doc, version, start, stop): word intervals covered by windows that also start earlier (not yet merged)."""
-    rows = _keyed(docs, id_column, text).select("doc", "version", "text").mapInArrow(
-        _emit(window, anchor), "anchor long, doc long, version int, start int, stop int, windows binary")
+    texts = _keyed(docs, id_column, text).select("doc", "version", "text")
+    hot = hot_anchors(texts, window, anchor, hot_rows, sample)
+    rows = texts.mapInArrow(
+        _emit(window, anchor, hot), "anchor long, doc long, version int, start int, stop int, windows binary")
     n = shuffle_partitions(docs.sparkSession)
     dealt = rows.repartition(n, "anchor").sortWithinPartitions("anchor", "doc", "version", "start")
     return dealt.mapInArrow(_settle(window), "doc long, version int, start int, stop int")

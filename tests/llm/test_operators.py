@@ -138,6 +138,46 @@ def test_passages_in_long_texts_and_small_batches(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, substring._windows([text], 20, 8)))
 
 
+def settled(texts, hot):
+    """Intervals of texts that meet after the shuffle, one text per batch."""
+    import pyarrow as pa
+    parts = [b for i, t in enumerate(texts) for b in substring._emit(20, 8, hot)(iter([pa.RecordBatch.from_pydict(
+        {"doc": pa.array([i]), "version": pa.array([0], pa.int32()), "text": [t]})]))]
+    rows = pa.Table.from_batches(parts).sort_by([(c, "ascending") for c in ("anchor", "doc", "version", "start")])
+    found = [r for b in substring._settle(20)(iter(rows.to_batches(max_chunksize=3))) for r in b.to_pylist()]
+    return sorted({(r["doc"], w) for r in found for w in range(r["start"], r["stop"])}), rows
+
+
+def test_passages_with_one_anchor_and_like_hashes(monkeypatch):
+    def anchor(r):
+        buf = np.frombuffer(r.encode(), np.uint8)
+        return substring.rolling(substring.word_hashes(buf, *substring.word_bounds(buf)), np.array([0]), np.array([8]))[0]
+
+    run = min((" ".join(f"common{k}n{i}" for i in range(8)) for k in range(2000)), key=anchor)  # below most other hashes
+    texts = [" ".join([*(f"a{i}x{j}" for j in range(12)), run, *(f"b{i}x{j}" for j in range(12))]) for i in range(40)] * 2
+    want = [(d, w) for d in range(40, 80) for w in range(32)]
+    _, rows = settled(texts, np.empty(0, np.uint64))
+    hot = np.unique(rows["anchor"].to_numpy()).view(np.uint64)
+    assert settled(texts, hot)[0] == want
+    # a hot anchor's windows travel one by one, under keys of their own
+    shared = np.unique(rows["anchor"].to_numpy(), return_counts=True)[1].max()
+    alone = np.unique(settled(texts, hot)[1]["anchor"].to_numpy(), return_counts=True)[1].max()
+    assert shared >= 40 and alone <= 2
+    rolling = substring.rolling
+    with monkeypatch.context() as m:  # windows that agree in 40 bits
+        m.setattr(substring, "rolling", lambda v, a, b: rolling(v, a, b) & np.uint64(0xFFFFFF0000000000))
+        assert settled(texts, np.empty(0, np.uint64))[0] == want
+    monkeypatch.setattr(substring, "word_hashes", lambda buf, a, b: np.zeros(len(a), np.uint64))
+    assert settled(texts, np.empty(0, np.uint64))[0] == want  # the second hash alone
+
+
+def test_hot_anchors_leave_the_result(docs):
+    spread = lambda **how: rows_of(substring.removal_intervals(docs, **how).select(
+        "doc", "version", F.explode(F.sequence("start", F.col("stop") - 1))).distinct())
+    assert len(substring.hot_anchors(substring._keyed(docs, "doc_id", "text"), hot_rows=1, sample=1)) > 1
+    assert spread(hot_rows=1, sample=1) == spread()
+
+
 def test_fingerprints_and_edits(docs, none):
     rows = sorted(({(i, t or "") for i, t, _ in ROWS if i != 6}), key=lambda r: (r[0] is not None, r[0] or 0))
     got = {r["id"]: r for r in multiset_hash.fingerprint_edits(docs.where("doc_id IS NULL OR doc_id != 6")).collect()}
