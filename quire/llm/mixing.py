@@ -73,31 +73,37 @@ def queue(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source
                          (F.col("base") + F.col("inner")).alias("ahead"), *keep)
 
 
-def schedule(queued: DataFrame, epochs: int = EPOCHS) -> DataFrame:
-    """One row per document and epoch that starts before the budget ends: adds (epoch, start, finish, words).
+def _turns(epochs: int) -> Column:
+    """Of a queued document: (finish, epoch, start, words) of every epoch that starts before the budget ends.
+
+    Virtual times run from 0 to 1: at any time t every source has sent t times its target and all sources t times the
+    budget, so the budget is spent at time 1, which is where the sorted sequence is truncated, to the word. ``words`` is
+    what the document has sent by then."""
+    def turn(epoch: Column) -> Column:
+        begin = epoch * F.col("source_size") + F.col("ahead")
+        # half a word of tolerance, so a target that is a whole number but for rounding sends all its words
+        sent = F.floor(F.col("target") + 0.5) - begin
+        return F.struct(F.try_divide(begin + F.col("size"), F.col("target")).alias("finish"), epoch.alias("epoch"),
+                        F.try_divide(begin, F.col("target")).alias("start"),
+                        F.greatest(F.lit(0), F.least(F.col("size"), sent)).cast("long").alias("words"))
+
+    each = F.array(*[turn(F.lit(e)) for e in range(epochs)])
+    return F.filter(each, lambda t: (t["words"] > 0) & (t["start"] < 1))
 
-    Virtual times run from 0 to 1: the targets add up to the budget, so at time 1 every source has sent its
-    target, which is where the sorted sequence is truncated. ``words`` is what the document has sent by then. Sort by
-    ``finish`` for the order of sending."""
-    turns = queued.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    begin = F.col("epoch") * F.col("source_size") + F.col("ahead")
-    turns = turns.withColumn("start", F.try_divide(begin, F.col("target"))) \
-        .withColumn("finish", F.try_divide(begin + F.col("size"), F.col("target")))
-    # half a word of tolerance, so a target that is a whole number but for rounding sends all its words
-    sent = F.floor(F.col("target") + 0.5) - begin
-    return turns.withColumn("words", F.greatest(F.lit(0), F.least(F.col("size"), sent)).cast("long")) \
-        .where((F.col("words") > 0) & (F.col("start") < 1))
+
+def schedule(queued: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+    """One row per document and epoch that starts before the budget ends, in the order of sending: by ``finish``, then source,
+    place in its queue and epoch. Adds (epoch, start, finish, words)."""
+    turns = queued.withColumn("_turn", F.explode(_turns(epochs)))
+    turns = turns.select(*queued.columns, *[F.col(f"_turn.{c}") for c in ("epoch", "start", "finish", "words")])
+    return turns.orderBy("finish", F.col("source").asc_nulls_last(), "epoch", "ahead", F.col("id").asc_nulls_first())
 
 
 def taken(queued: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """(id, size, source_size, target, taken): one row per document; ``taken`` counts its words in the mix over all epochs.
 
     Null texts have size 0 and take 0; a null source is a source of its own, last in order. Empty table: no rows."""
-    words = F.lit(0).cast("long")
-    for epoch in range(epochs):
-        begin = F.lit(epoch) * F.col("source_size") + F.col("ahead")
-        sent = F.floor(F.col("target") + 0.5) - begin
-        words = words + F.greatest(F.lit(0), F.least(F.col("size"), sent)).cast("long")
+    words = F.aggregate(_turns(epochs), F.lit(0).cast("long"), lambda n, t: n + t["words"])
     return queued.select("id", "size", "source_size", "target", words.alias("taken"))
 
 
@@ -113,23 +119,22 @@ def first_words(text: Column, n: Column) -> Column:
 
 def mixed_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a document once per epoch that sends it; a document in service
-    when the budget ends keeps its first words. Fully repeated rows are as many as the mix sends of them."""
+    """The mix itself, with the columns of ``docs``, in the order of sending (see ``schedule``): a document once per epoch
+    that sends it; a document in service when the budget ends keeps its first words. Fully repeated rows are as many as the mix sends of them."""
     def key(a: Column, version: Column, b: Column) -> Column:  # one column, so that rows are shuffled once
         return F.concat_ws("|", F.coalesce(a.cast("string"), F.lit("")), version.cast("string"),
                            b.isNull().cast("string"), F.coalesce(b.cast("string"), F.lit("")))
 
     sent = queue(docs, id_column, text, source, weights, epochs, seed)
-    turns = F.array(*[F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), (
-        F.floor(F.col("target") + 0.5) - (F.lit(e) * F.col("source_size") + F.col("ahead"))).cast("long"))) for e in range(epochs)])
-    sent = sent.select(key(F.col("id"), F.col("version"), F.col("source")).alias("_key"), "ahead", F.col("size").alias("_size"),
-                       F.filter(turns, lambda w: w > 0).alias("_turns"))
+    sent = sent.select(key(F.col("id"), F.col("version"), F.col("source")).alias("_key"), F.col("ahead").alias("_ahead"),
+                       F.col("size").alias("_size"), _turns(epochs).alias("_turns"))
     # repeated rows are numbered on both sides
-    sent = sent.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy("ahead"))).drop("ahead")
+    sent = sent.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy("_ahead")))
     mine = docs.withColumn("_key", key(F.col(id_column), F.md5(text_of(text)), F.col(source)))
     mine = mine.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
     both = mine.join(sent, (mine["_key"] == sent["_key"]) & (F.col("_nth") - F.col("_place") == 0)).drop("_key")
-    both = both.withColumn("_words", F.explode("_turns"))
+    both = both.withColumn("_turn", F.explode("_turns")).drop("_turns").withColumn("_words", F.col("_turn.words"))
+    both = both.orderBy("_turn.finish", F.col(source).asc_nulls_last(), "_turn.epoch", "_ahead", F.col(id_column).asc_nulls_first())
     whole = F.col(text)
     return both.withColumn(text, F.when(F.col("_words") < F.col("_size"), first_words(whole, F.col("_words"))).otherwise(whole)) \
         .select(*docs.columns)

@@ -279,6 +279,16 @@ def test_mixing(docs, none):
     assert mixed == got.taken.sum() and mixing.taken(mixing.queue(none)).count() == 0
 
 
+def test_the_mix_is_sent_in_order_of_finish(docs, none):
+    queued = mixing.queue(docs)
+    order = mixing.schedule(queued).collect()
+    assert [r["finish"] for r in order] == sorted(r["finish"] for r in order) and len({r["source"] for r in order}) > 2
+    sent = [(r["doc_id"], len(WORD.findall(r["text"]))) for r in mixing.mixed_texts(docs).collect()]
+    assert sent == [(r["id"], r["words"]) for r in order]
+    assert sum(r["words"] for r in order) == mixing.taken(queued).agg(F.sum("taken")).first()[0]
+    assert mixing.mixed_texts(none).count() == 0
+
+
 def test_first_words(spark):
     df = spark.createDataFrame([(" a  b\tc ", n) for n in (1, 2, 3, 4)], "t string, n long")
     assert [r[0] for r in df.select(mixing.first_words(F.col("t"), F.col("n"))).collect()] == [" a", " a  b", " a  b\tc", " a  b\tc "]
