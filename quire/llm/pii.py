@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and terms whose co-occurrence with a protected entity discloses it.
 
-Every matched value (an e-mail address, number, ...) is a protected entity. Co-occurrence over the corpus estimates how
-strongly a term near an entity reveals it: the pointwise mutual information of term and entity as a share of the entity's own
+Every matched value (an e-mail address, number, ...) is a protected entity. Co-occurrence in whole documents estimates how
+strongly a term reveals an entity: the pointwise mutual information of term and entity as a share of the entity's own
 information. Terms at or over the threshold, in documents that hold the entity, are spans too, to be generalised or removed.
 Documents without any entity are never touched. DataFrame functions only."""
 
@@ -44,9 +44,7 @@ BASE = [
     S.Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.char_length(_digits(m)).between(10, 15)),
 ]
 TERM = r"\p{L}{3,}"
-NEAR_WORDS = 8
-NEAR_CHARS = 160
-SUPPORT = 3  # different texts in which a term must stand near the entity
+SUPPORT = 3  # different texts that must hold both the term and the entity
 DISCLOSURE = 0.9  # of the entity's information
 
 
@@ -55,34 +53,35 @@ def _entity(span: Column) -> Column:
                        .otherwise(F.lower(span["value"])))
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Lower-case words up to ``NEAR_WORDS`` before and after the span, cut words left out, e-mail parts left out."""
-    words = lambda part: F.regexp_extract_all(F.regexp_replace(F.lower(part), EMAIL, " "), F.lit(TERM), F.lit(0))
-    left = F.substr(text, F.greatest(F.lit(1), span["start"] - NEAR_CHARS + 1), F.least(span["start"], F.lit(NEAR_CHARS)))
-    left = F.when(span["start"] > NEAR_CHARS, F.regexp_replace(left, r"^[^\x20\x09-\x0D]+", "")).otherwise(left)
-    right = F.regexp_replace(F.substr(text, span["end"] + 1, F.lit(NEAR_CHARS)), r"[^\x20\x09-\x0D]+$", "")
-    a, b = words(left), words(right)
-    n = F.least(F.size(a), F.lit(NEAR_WORDS))
-    return F.concat(F.slice(a, F.size(a) - n + 1, n), F.slice(b, F.lit(1), F.lit(NEAR_WORDS)))
+def _terms(text: Column) -> Column:
+    """The different lower-case words of a whole text, e-mail parts left out."""
+    return F.array_distinct(F.regexp_extract_all(F.regexp_replace(F.lower(text), EMAIL, " "), F.lit(TERM), F.lit(0)))
 
 
 def disclosing_terms(hits: DataFrame, docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term): terms that reveal an entity. ``hits``: (id, version, text, base); ``docs``: (text) of all documents.
-
-    Frequencies count documents over the whole corpus; support counts different texts, so copies lend none."""
-    mention = hits.select("id", "version", "text", F.explode("base").alias("s"))
-    near = mention.select("id", "version", _entity(F.col("s")).alias("entity"),
-                          F.explode(_near(F.col("text"), F.col("s"))).alias("term")).distinct()
-    pairs = staged(near.groupBy("entity", "term").agg(F.count("*").alias("both"), F.countDistinct("version").alias("texts"))
-                   .where(F.col("texts") >= support).select("entity", "term", "both"), "pii-pairs")
-    if pairs.isEmpty():
-        return pairs.select("entity", "term")
+    """(entity, term): terms that reveal an entity. ``hits``: (version, text, base); ``docs``: (text) of all documents.
+
+    All frequencies count rows over the whole corpus, a term or entity once per document wherever it stands; support
+    counts different texts, so copies lend none. Equal texts travel once, with their number of copies."""
     total = docs.agg(F.count("*").cast("double").alias("n"))
-    entities = mention.select("id", "version", _entity(F.col("s")).alias("entity")).distinct() \
-        .groupBy("entity").agg(F.count("*").alias("df_entity"))
-    vocabulary = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")) \
-        .groupBy("term").agg(F.count("*").alias("df_term"))
-    scored = pairs.join(entities, "entity").join(vocabulary, "term").withColumn("n", total.scalar())
+    mention = hits.select("version", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")) \
+        .groupBy("version", "entity").agg(F.count("*").alias("copies"))
+    entities = mention.groupBy("entity").agg(F.sum("copies").alias("df_entity"), F.count("*").alias("texts")) \
+        .where(F.col("texts") >= support).select("entity", "df_entity", total.scalar().alias("n"))
+    # no document holds both more often than the entity, so a term of over ``most`` documents stays below the threshold
+    most = F.col("n") * F.pow(F.col("df_entity") / F.col("n"), F.lit(disclosure)) * (1 + 1e-9)
+    mention = staged(mention.join(entities.withColumn("most", most), "entity"), "pii-entities")
+    none = hits.sparkSession.createDataFrame([], "entity string, term string")
+    if mention.isEmpty():
+        return none
+    limit = mention.agg(F.max("most").alias("most"))
+    vocabulary = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df_term")) \
+        .where((F.col("df_term") >= support) & (F.col("df_term") <= limit.scalar()))
+    held = hits.join(mention.select("version").distinct(), "version", "left_semi")
+    words = held.select("version", F.explode(_terms(F.col("text"))).alias("term")).distinct().join(vocabulary, "term")
+    pairs = mention.join(words, "version").where(F.col("df_term") <= F.col("most"))
+    scored = pairs.groupBy("entity", "term", "df_entity", "df_term", "n") \
+        .agg(F.sum("copies").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
     information = F.log(F.col("n") / F.col("df_entity"))
     shared = F.log(F.col("both") * F.col("n") / (F.col("df_entity") * F.col("df_term")))
     return scored.where((information > 0) & (shared >= disclosure * information)).select("entity", "term")

@@ -269,6 +269,18 @@ def test_personal_data(docs, none, spark):
     assert "zanzibar" not in clean and "[EMAIL]" in clean
 
 
+def test_terms_far_from_the_entity(spark):
+    fill = lambda i: " ".join(f"{w} {i}" for w in ["plain", "words"] * 60)
+    told = [(i, f"Zanzibar heads note {i} {fill(i)} write me@x.org") for i in range(4)] + \
+           [(4, "zanzibar me@x.org"), (5, "x" * 200 + " me@x.org quagga " + "y" * 200), (5, "x" * 200 + " me@x.org quagga " + "y" * 200)] + \
+           [(10 + i, f"plain words heads note write {fill(i)}") for i in range(30)]
+    rows = spark.createDataFrame(told, "doc_id long, text string")
+    found = {r["id"]: spans_of(r["spans"]) for r in pii.scan(rows).collect()}
+    assert all("term:0:8" in found[i] for i in range(5)) and all(not s for i, s in found.items() if i >= 10)
+    assert found[0] == ["term:0:8", f"email:{len(told[0][1]) - 8}:{len(told[0][1])}"]
+    assert [s.split(":")[0] for s in found[5]] == ["email"]  # copies lend no support
+
+
 def test_mixing(docs, none):
     got = mixing.taken(mixing.queue(docs)).toPandas()
     assert len(got) == len(ROWS) and (got.taken <= 3 * got["size"]).all()
