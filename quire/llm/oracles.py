@@ -113,5 +113,51 @@ SELECT doc_id, n AS n_words, len(gone) AS n_removed,
 FROM o
 """
 
+def _merkle(levels: int = 8, above: int = 3) -> str:
+    """The manifest level by level, each level's nodes with the digests beside them (up to 8**levels rows a lang, 8**above langs)."""
+    def climb(tree: str, base: str, depth: int) -> str:
+        out = f"{tree}0 AS MATERIALIZED ({base})"
+        for k in range(depth):
+            side = "string_agg(h, '') OVER (PARTITION BY key, r // 8 ORDER BY r ROWS BETWEEN {} )"
+            out += f""",
+{tree}s{k} AS MATERIALIZED (SELECT key, r, coalesce({side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS l,
+  coalesce({side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS g FROM {tree}{k}),
+{tree}{k + 1} AS MATERIALIZED (SELECT key, r // 8 AS r, n, CASE WHEN n > {8 ** k} THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h
+  FROM {tree}{k} GROUP BY key, r // 8, n)"""
+        return out
+
+    def walk(tree: str, start: str, rows: str, depth: int) -> str:
+        out, before = "", start
+        for k in range(depth):
+            out += f""",
+{rows}{k} AS MATERIALIZED (SELECT a.* REPLACE (CASE WHEN a.{tree}n > {8 ** k} THEN sha256(s.l || a.folded || s.g) ELSE a.folded END AS folded,
+  CASE WHEN a.{tree}n > {8 ** k} THEN a.proof || s.l || s.g ELSE a.proof END AS proof)
+  FROM {before} a JOIN {tree}s{k} s ON s.key = a.{tree}key AND s.r = a.{tree}r // {8 ** k})"""
+            before = f"{rows}{k}"
+        return out
+
+    part = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    leaf = lambda text: "sha256(" + " || ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    base = "SELECT key, r, n, h FROM d"
+    return f"""
+WITH t AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+i AS (SELECT *, CASE WHEN lang IS NULL THEN '0' ELSE '1' || lang END AS key, {leaf('text')} AS h, {leaf('lowered')} AS hl,
+   xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+     lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), CAST(4294967295 AS BIGINT)), 4294967295) % 3 = 0 AS hit
+   FROM (SELECT *, {lowered} AS lowered FROM documents), t),
+d AS MATERIALIZED (SELECT doc_id, key, h, CASE WHEN hit THEN hl ELSE h END AS used, count(*) OVER (PARTITION BY key) AS n,
+   row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS r FROM i),
+{climb('a', base, levels)},
+z AS MATERIALIZED (SELECT key AS lang, h, row_number() OVER (ORDER BY key) - 1 AS r, count(*) OVER () AS n FROM a{levels}),
+{climb('b', "SELECT 0 AS key, r, n, h FROM z", above)},
+w AS (SELECT doc_id, d.h AS leaf, z.h AS subroot, used AS folded, '' AS proof, d.key AS akey, d.r AS ar, d.n AS an,
+   0 AS bkey, z.r AS br, z.n AS bn FROM d JOIN z ON z.lang = d.key){walk('a', 'w', 'x', levels)}{walk('b', f'x{levels - 1}', 'y', above)}
+SELECT doc_id, leaf, subroot, b{above}.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b{above}.h AS verified
+FROM y{above - 1}, b{above}
+"""
+
+
 ORACLES = {"op1_exact_top_k": OP1, "op3_warc_captures": OP3, "op4_secret_spans": OP4, "op5_mix_sources": OP5,
-           "op10_repeated_passages": OP10}
+           "op10_repeated_passages": OP10, "op12_merkle_manifest": _merkle()}
