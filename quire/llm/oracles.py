@@ -113,6 +113,27 @@ SELECT doc_id, n AS n_words, len(gone) AS n_removed,
 FROM o
 """
 
+OP11 = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+  FROM documents),
+g AS MATERIALIZED (SELECT lang, d AS words, array_to_string(w[i:i + d - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, d, unnest(range(1, len(w) - d + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS d)) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE words = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE words > 1 AND a >= 10),
+t AS (SELECT lang, a, string_split(phrase, ' ') AS w FROM c WHERE words = 3),
+o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM t UNION ALL
+  SELECT lang, a, w[2] || ' ' || w[3] FROM t) GROUP BY ALL),
+k AS (SELECT c.*, string_split(phrase, ' ') AS w FROM c LEFT JOIN o USING (lang, phrase) WHERE o.longer IS NULL OR 100 * o.longer < 50 * c.a),
+u AS (SELECT *, array_to_string(w[1:cut], ' ') AS f, array_to_string(w[cut + 1:], ' ') AS e FROM (SELECT *, unnest(range(1, words)) AS cut FROM k)),
+s AS (SELECT u.lang, u.phrase, u.a, x.a AS l, y.a AS r, n.n, cut, CAST((1000000 * CAST(u.a AS HUGEINT) * u.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM u JOIN g x ON x.lang = u.lang AND x.phrase = u.f JOIN g y ON y.lang = u.lang AND y.phrase = u.e JOIN n ON n.lang = u.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b
+QUALIFY rank <= 2000
+"""
+
+
 def _merkle(levels: int = 8, above: int = 3) -> str:
     """The manifest level by level, each level's nodes with the digests beside them (up to 8**levels rows a lang, 8**above langs)."""
     def climb(tree: str, base: str, depth: int) -> str:
@@ -160,4 +181,4 @@ FROM y{above - 1}, b{above}
 
 
 ORACLES = {"op1_exact_top_k": OP1, "op3_warc_captures": OP3, "op4_secret_spans": OP4, "op5_mix_sources": OP5,
-           "op10_repeated_passages": OP10, "op12_merkle_manifest": _merkle()}
+           "op10_repeated_passages": OP10, "op11_phrase_collocations": OP11, "op12_merkle_manifest": _merkle()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe_stream, merkle, mixing, multiset_hash, packing, pii, secret_scan, simhash, spans, substring, toxicity,
+from quire.llm import (bpe_stream, merkle, mixing, multiset_hash, packing, phrases, pii, secret_scan, simhash, spans, substring, toxicity,
                        va_search, warc)
 from quire.llm.common import read_table
 from quire.llm.oracles import ORACLES  # noqa: F401
@@ -82,6 +82,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -92,4 +96,4 @@ def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_pack_documents, op3_warc_captures, op4_secret_spans, op5_mix_sources, op6_simhash_components,
-    op7_toxicity_scores, op8_multiset_fingerprints, op9_personal_data, op10_repeated_passages, op12_merkle_manifest, op13_bpe_round_trip)}
+    op7_toxicity_scores, op8_multiset_fingerprints, op9_personal_data, op10_repeated_passages, op11_phrase_collocations, op12_merkle_manifest, op13_bpe_round_trip)}
