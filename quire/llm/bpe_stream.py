@@ -13,7 +13,9 @@ import hashlib
 import heapq
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,14 +47,17 @@ class Merges:
         self.last = [vocab[c + suffix] for c in letters]
         size = dict.fromkeys((*letters, *(c + suffix for c in letters)), 1)
         lefts: dict[str, list[str]] = {}
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.wide = max(vocab.values()) + 1
+        self.rank: dict[int, int] = {}  # by left * wide + right
+        self.made: list[int] = []  # by rank
         reach: dict[str, int] = {}  # longest chain whose latest merge has this left component
         self.lookahead = 0
         for rank, (left, right) in enumerate(merges):
             if left not in size or right not in size:
                 raise ValueError(f"merge {rank} uses a token that no earlier merge makes")
             joined = left + (right if not suffix or not left.endswith(suffix) else right)
-            self.pairs.setdefault((vocab[left], vocab[right]), (rank, vocab[joined]))
+            self.rank.setdefault(vocab[left] * self.wide + vocab[right], rank)
+            self.made.append(vocab[joined])
             far, heads = 0, [right]
             while heads:
                 head = heads.pop()
@@ -66,46 +71,45 @@ class Merges:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The segmentation of a run of symbols: the pair of least rank first, the leftmost of equal ones first."""
-        return self._short(symbols) if len(symbols) <= 24 else self._long(symbols)
+        return self._short(symbols) if len(symbols) <= 100 else self._long(symbols)
 
     def _short(self, ids: list[int]) -> list[int]:
-        pairs = self.pairs
+        rank, wide, none = self.rank.get, self.wide, len(self.made)
         ids = list(ids)
-        while len(ids) > 1:
-            best = min((pairs[p] for p in zip(ids, ids[1:]) if p in pairs), default=None)
-            if best is None:
+        ranks = [rank(a * wide + b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            rank, joined = best
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and pairs.get((ids[i], ids[i + 1]), (-1,))[0] == rank:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)
+            joined = self.made[best]
+            ids[i:i + 2] = (joined,)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(joined * wide + ids[i + 1], none)
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] * wide + joined, none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
-        pairs, n = self.pairs, len(ids)
+        rank, wide, n = self.rank, self.wide, len(ids)
         ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(pairs[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+        heap = [(rank[a * wide + b], i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a * wide + b in rank]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = after[i]
-            if j >= n or (ids[i], ids[j]) != pair:
+            if ids[i] < 0 or j >= n or rank.get(ids[i] * wide + ids[j]) != best:
                 continue
-            ids[i], ids[j], k = pairs[pair][1], -1, after[j]
+            ids[i], ids[j], k = self.made[best], -1, after[j]
             after[i] = k
             if k < n:
                 before[k] = i
-                if (ids[i], ids[k]) in pairs:
-                    heapq.heappush(heap, (pairs[ids[i], ids[k]][0], i, (ids[i], ids[k])))
+                if ids[i] * wide + ids[k] in rank:
+                    heapq.heappush(heap, (rank[ids[i] * wide + ids[k]], i))
             h = before[i]
-            if h >= 0 and (ids[h], ids[i]) in pairs:
-                heapq.heappush(heap, (pairs[ids[h], ids[i]][0], h, (ids[h], ids[i])))
+            if h >= 0 and ids[h] * wide + ids[i] in rank:
+                heapq.heappush(heap, (rank[ids[h] * wide + ids[i]], h))
         return [x for x in ids if x >= 0]
 
 
@@ -137,7 +141,11 @@ class WordStream:
 
     def finish(self) -> list[int]:
         word, self.held = self.held, b""
-        return self.merges.merge([*(self.merges.plain[b] for b in word[:-1]), self.merges.last[word[-1]]]) if word else []
+        if not word:
+            return []
+        symbols = [self.merges.plain[b] for b in word]
+        symbols[-1] = self.merges.last[word[-1]]
+        return self.merges.merge(symbols)
 
 
 def _cut(text: str, at: int) -> int:
@@ -151,6 +159,14 @@ def _cut(text: str, at: int) -> int:
     return at
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Encoder:
     """Texts to token ids, as the tokenizer file defines them, without special tokens added.
 
@@ -172,26 +188,32 @@ class Encoder:
         self.special = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True)) or "(?!)")
         self.code = {c: b for b, c in enumerate(byte_alphabet())}
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[bytes, bytes] = {}
+        letters = [c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº"]
+        plain = all(self._parts(c) == self._parts(c.lower()) and len(self._parts(c + c + ".,;:!?")) == 2 for c in letters)
+        self.simple = re.compile(f"([{''.join(letters)}]+)([.,;:!?]*)" if plain else "(?!)")
 
     def _parts(self, text: str) -> list[str]:
         return [t for t, _ in self.split.pre_tokenize_str(self.normal.normalize_str(text) if self.normal else text)]
 
-    def _word(self, part: str) -> list[int]:
-        ids = self.words.get(part)
+    def _word(self, raw: bytes) -> bytes:
+        ids = self.words.get(raw)
         if ids is None:
             word = WordStream(self.merges, self.block)
-            ids = word.push(bytes(map(self.code.__getitem__, part))) + word.finish()
-            if len(part) <= MEMO_BYTES:
+            ids = _packed(word.push(raw) + word.finish())
+            if len(raw) <= MEMO_BYTES:
                 if len(self.words) >= MEMO_ENTRIES:
                     self.words.clear()
-                self.words[part] = ids
+                self.words[raw] = ids
         return ids
 
-    def _stream(self, text: str) -> Iterator[list[int]]:
+    def _words(self, text: str) -> bytes:
+        return b"".join([self._word(bytes(map(self.code.__getitem__, part))) for part in self._parts(text)])
+
+    def _stream(self, text: str) -> Iterator[bytes]:
         """Ids of a text without added tokens, read block by block."""
         if len(text) <= self.block:
-            yield [i for part in self._parts(text) for i in self._word(part)]
+            yield self._words(text)
             return
         at, carry, word = 0, "", None  # carry: the unfinished part's normal form, or its end if ``word`` holds what came before
         while at < len(text):
@@ -209,19 +231,19 @@ class Encoder:
             else:
                 keep = 0
             done, open_ = found[:len(found) - keep], found[len(found) - keep:]
-            out = []
+            out = b""
             for part, _ in done:
                 raw = bytes(map(self.code.__getitem__, part))
                 if word is not None:
-                    out += word.push(raw) + word.finish()
+                    out += _packed(word.push(raw) + word.finish())
                     word = None
                 else:
-                    out += self._word(part)
+                    out += self._word(raw)
             carry = piece[open_[0][1][0]:] if open_ else ""
             if len(carry) > 2 * CARRY:
                 if word is None:
                     word = WordStream(self.merges, self.block)
-                out += word.push(carry[:-CARRY].encode())
+                out += _packed(word.push(carry[:-CARRY].encode()))
                 carry = carry[-CARRY:]
             yield out
         # a part that reaches the end of the text is never kept, so nothing is left over
@@ -230,7 +252,14 @@ class Encoder:
         """Ids (little-endian unsigned 32-bit) of a chunk without ASCII white space."""
         ids = self.chunks.get(raw)
         if ids is None:
-            ids = b"".join(self._chunk_blocks(raw))
+            text = raw.decode("utf-8", "replace")
+            simple = self.simple.fullmatch(text)
+            if simple:  # a run of letters, then one of points: the parts the splitter finds
+                ids = self._word(simple[1].lower().encode()) + (self._word(simple[2].encode()) if simple[2] else b"")
+            elif self.special.search(text):
+                ids = b"".join(self._chunk_blocks(raw))
+            else:
+                ids = self._words(text)
             if len(raw) <= MEMO_BYTES:
                 if len(self.chunks) >= MEMO_ENTRIES:
                     self.chunks.clear()
@@ -241,9 +270,9 @@ class Encoder:
         text, at = raw.decode("utf-8", "replace"), 0
         for hit in [*self.special.finditer(text), None]:
             for ids in self._stream(text[at:hit.start() if hit else len(text)]):
-                yield np.array(ids, "<u4").tobytes()
+                yield ids
             if hit:
-                yield np.array([self.added[hit[0]]], "<u4").tobytes()
+                yield _packed([self.added[hit[0]]])
                 at = hit.end()
 
     def blocks(self, text: bytes) -> Iterator[bytes]:
