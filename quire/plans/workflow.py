@@ -21,7 +21,7 @@ SCORE, USER, TITLE, TEXT = "review/score", "User_id", "Title", "review/text"
 
 
 def run(spark: SparkSession, books_csv: str, reviews_csv: str, out: str, lexicon: DataFrame | None = None,
-        stopwords: list[str] | None = None, zone: str = "UTC", multi_line: bool = True, min_count: int = 50, clusters: int = 4,
+        stopwords: list[str] | None = None, zone: str = "UTC", multi_line: bool | str = "split", min_count: int = 50, clusters: int = 4,
         seed: int = 42) -> dict[str, str]:
     """Write all tables; returns {name: path}. ``lexicon`` (word, polarity) is needed for the sentiment tables,
     which are left out without it. ``multi_line`` allows line breaks inside quoted fields of the files. Model steps
@@ -137,5 +137,5 @@ def _models(spark: SparkSession, put, keep, merged: DataFrame, seed: int) -> Non
     keep("als", factors)
     error = supervised.rmse(factors.transform(test), "rating")
     found.append(report.metrics(spark, "als", {"rmse": error}))
-    put("recommendations", recommend.recommend_for_all(factors, 5, users, items, USER, TITLE))
+    put("recommendations", recommend.recommend_top(factors, 5, users, items, USER, TITLE))
     put("model_metrics", report.combine(*found))

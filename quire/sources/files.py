@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.session import session_key
+from quire.sources.quoted import read_quoted_csv
 
 
 def _odd_quotes(spark: SparkSession, path: str) -> bool:
@@ -17,16 +18,21 @@ def _odd_quotes(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, strict_quotes: bool = True,
-             header: bool = True, multi_line: bool = False, check: bool = True, infer: bool = True) -> DataFrame:
+             header: bool = True, multi_line: bool | str = False, check: bool = True, infer: bool = True) -> DataFrame:
     """Read delimited text with a header.
 
     ``strict_quotes`` (default) follows RFC 4180: doubled quotes inside a quoted field. ``False`` is the
     plain reader, which shifts columns on such rows. Large files are split over many tasks. Line breaks
-    inside quoted fields need ``multi_line``, which reads each file in one task; without it such files
+    inside quoted fields need ``multi_line``: ``"split"`` finds the record starts of every split
+    (:mod:`quire.sources.quoted`; columns without a schema are text), True reads each file in one task. Without it such files
     raise ValueError, as one more pass over the lines finds an odd number of quotes (``check=False``
     leaves that pass out). Without a schema the types are inferred (another pass), or all columns are
     text with ``infer=False``; pass a schema in production.
     """
+    if multi_line == "split":
+        if not strict_quotes:
+            raise ValueError("splits of multi-line files need strict quotes")
+        return read_quoted_csv(spark, path, schema, header)
     reader = spark.read.option("header", header)
     if strict_quotes:
         reader = reader.option("quote", '"').option("escape", '"')
