@@ -300,7 +300,7 @@ def als_rmse(spark, sf):
 def als_top5(spark, sf):
     train, _, users, items = _als_split(spark, sf)
     model = recommend.als(train, seed=TRAIN_SEED)
-    return recommend.recommend_for_all(model, 5, users, items, "user_id", "item_id")
+    return recommend.recommend_top(model, 5, users, items, "user_id", "item_id")
 
 
 @query("cold_start_pairs", f"""with r as (select review_id, user_id, item_id from merged_fx
