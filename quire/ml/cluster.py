@@ -34,16 +34,66 @@ def segment(df: DataFrame, cols: list[str], key: str, k: int = 4, seed: int = 42
     return model, model.transform(data).drop("features")
 
 
-def elbow(df: DataFrame, cols: list[str], key: str, ks: list[int], seed: int = 42) -> DataFrame:
-    """(k, wcss) for each k: within-cluster sum of squares of the fitted model."""
-    spark = df.sparkSession
-    data = prepare(df, cols, key).cache()
-    rows = []
+SEED_ROWS = 20_000  # rows drawn for the starting centres: a bound on the sample, not on the rows that are clustered
+
+
+def _starts(points: np.ndarray, ks: list[int], seed: int, tries: int = 8, rounds: int = 20) -> dict[int, np.ndarray]:
+    """Starting centres for each k: the best of some k-means++ draws on the sample, after a few steps on it."""
+    rng, best = np.random.default_rng(seed), {}
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-        rows.append((k, float(model.summary.trainingCost)))
-    data.unpersist()
-    return spark.createDataFrame(rows, "k int, wcss double")
+        least = np.inf
+        for _ in range(tries):
+            centres = points[rng.integers(len(points))][None]
+            while len(centres) < k:
+                far = ((points[:, None] - centres[None]) ** 2).sum(-1).min(1)
+                if not far.sum():
+                    break
+                centres = np.vstack([centres, points[rng.choice(len(points), p=far / far.sum())]])
+            for _ in range(rounds):
+                near = ((points[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+                centres = np.array([points[near == j].mean(0) if (near == j).any() else c for j, c in enumerate(centres)])
+            cost = ((points[:, None] - centres[None]) ** 2).sum(-1).min(1).sum()
+            if cost < least:
+                least, best[k] = cost, centres
+    return best
+
+
+def elbow(df: DataFrame, cols: list[str], key: str, ks: list[int], seed: int = 42, max_iter: int = 20,
+          tol: float = 1e-4) -> DataFrame:
+    """(k, wcss) for each k: within-cluster sum of squares on standardised ``cols``.
+
+    Lloyd's steps of all k run together: every row finds its nearest centre for each k, and one aggregate per iteration gives
+    all new centres and costs (one row per k and centre). The standardised rows are written once; rows with a null or NaN
+    feature are left out. Centres start from k-means++ on at most ``SEED_ROWS`` rows, chosen by a hash of ``key``. No rows: none."""
+    spark = df.sparkSession
+    z = [f"_z{i}" for i in range(len(cols))]
+    scaled = standardize(df, cols, suffix="_z").select(key, *[F.col(c + "_z").alias(n) for c, n in zip(cols, z)]).na.drop(subset=z)
+    data = stage_table(scaled, "elbow")
+    drawn = data.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(SEED_ROWS).select(*z).toPandas().to_numpy(float)
+    if not len(drawn):
+        return spark.createDataFrame([], "k int, wcss double")
+    centres, costs, moving = _starts(drawn, ks, seed), {}, set(ks)
+    for _ in range(max_iter + 1):
+        each = []
+        for k in sorted(moving):
+            far = F.array(*[sum(((F.col(n) - float(x)) * (F.col(n) - float(x)) for n, x in zip(z, c)), F.lit(0.0))
+                            for c in centres[k]])
+            each.append(F.struct(F.lit(k).alias("k"), far.alias("far")))
+        rows = data.select(*z, F.inline(F.array(*each))).withColumn("least", F.array_min("far"))
+        rows = rows.withColumn("at", F.array_position("far", F.col("least")))
+        found = rows.groupBy("k", "at").agg(F.sum("least").alias("cost"), *[F.avg(n).alias(n) for n in z]).collect()
+        for k in sorted(moving):
+            mine = [r for r in found if r["k"] == k]
+            costs[k] = sum(r["cost"] for r in mine)
+            before, after = centres[k], centres[k].copy()
+            for r in mine:
+                after[int(r["at"]) - 1] = [r[n] for n in z]
+            centres[k] = after
+            if ((after - before) ** 2).sum(1).max() <= tol ** 2:
+                moving.discard(k)
+        if not moving:
+            break
+    return spark.createDataFrame([(k, float(costs[k])) for k in ks], "k int, wcss double")
 
 
 def assign(df: DataFrame, cols: list[str], centers: list[list[float]], out: str = "cluster") -> DataFrame:

@@ -55,6 +55,14 @@ def reviews_by_category(spark, sf):
     return stats.count_by(analysis_frame(spark, sf), "categories")
 
 
+@query("reviews_by_keys", W + """select 'categories' as key_name, categories_s as key, count(score) as review_count from ana group by 2
+union all select 'authors', authors_s, count(score) from ana group by 2
+union all select 'user_id', cast(user_id as string), count(score) from ana group by 2""")
+def reviews_by_keys(spark, sf):
+    """The counts per category, author and user from one scan."""
+    return stats.count_by_each(analysis_frame(spark, sf), ["categories", "authors", "user_id"])
+
+
 @query("reviews_by_user", """select user_id, count(score) as num_reviews from merged_fx group by user_id""")
 def reviews_by_user(spark, sf):
     return stats.count_by(fx.merged_fx(spark, sf), "user_id", name="num_reviews")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import clean, profile, report, stats
+from quire.operators import clean, layout, profile, report, stats
 from quire.plans.registry import query, rounded
 from quire.session import scratch_path
 from quire.sources import fixtures as fx
@@ -28,6 +28,25 @@ def src_csv_split(spark, sf):
     return read_csv(spark, path, schema=rows.schema)
 
 
+@query("src_csv_quoted_split", """select doc_id, lang, source, text, score from docs_fx""")
+def src_csv_quoted_split(spark, sf):
+    """Texts with line breaks, each file split over tasks."""
+    docs = fx.docs_fx(spark, sf).select(*DOC_COLS)
+    return read_csv(spark, write_csv(docs, scratch_path(spark, "csv")), schema=docs.schema, multi_line="split")
+
+
+@query("cache_reuse", """with s as (select item_id, count(score) as c from merged_fx group by item_id)
+select count(*) as items, cast(sum(c) as bigint) as reviews, max(c) as most,
+  count(*) filter (where c = (select max(c) from s)) as items_at_most from s""")
+def cache_reuse(spark, sf):
+    """Counts per item, kept while two reports read them."""
+    held = layout.cache(stats.item_stats(fx.merged_fx(spark, sf)))
+    one = held.agg(F.count(F.lit(1)).alias("items"), F.sum("review_count").alias("reviews"), F.max("review_count").alias("most")).first()
+    at = held.where(F.col("review_count") == one["most"]).count()
+    held.unpersist()
+    return spark.createDataFrame([(*one, at)], "items long, reviews long, most long, items_at_most long")
+
+
 @query("src_parquet_scan", """select l_orderkey, l_partkey, l_quantity from lineitem where l_quantity > 25""")
 def src_parquet_scan(spark, sf):
     li = read_parquet(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_quantity"])
@@ -160,6 +179,32 @@ def clean_dedupe_texts(spark, sf):
     return clean.dedupe_report(read_table(spark, sf, "documents", ["text"]))
 
 
+_OVERVIEW = {"item_id": "number", "title": "text", "authors": "text", "categories": "text", "ratings_raw": "text"}
+
+
+def _overview_sql(c: str, kind: str) -> str:
+    """The overview of one column of books_fx."""
+    stat = lambda item, number, value="cast(null as varchar)", having="": (
+        f"select '{c}' as \"column\", '{item}' as item, cast(null as integer) as rank, {value} as value, "
+        f"cast({number} as double) as number from books_fx {having}")
+    x = f"try_cast({c} as double)"
+    ends = [stat(f, "null", f"cast({f}({c}) as varchar)", f"having count({c}) > 0") if kind == "text" else
+            stat(f, f"{f}({c})", having=f"having count({c}) > 0") for f in ("min", "max")]
+    return " union all ".join([
+        stat("rows", "count(*)"), stat("missing", f"count(*) - count({c})"), stat("count", f"count({c})", having=f"having count({c}) > 0"),
+        stat("mean", f"round(avg({x}), 6)", having=f"having count({x}) > 0"),
+        stat("stddev", f"round(stddev_samp({x}), 6)", having=f"having count({x}) > 1"), *ends,
+        f"select '{c}', 'top', cast(row_number() over (order by count(*) desc, cast({c} as varchar) nulls first) as integer) as r, cast({c} as varchar), "
+        f"cast(count(*) as double) from books_fx group by {c} qualify r <= 5"])
+
+
+@query("profile_overview", " union all ".join(_overview_sql(c, kind) for c, kind in _OVERVIEW.items()))
+def profile_overview(spark, sf):
+    """Missing counts, describe and top values of a table from one scan."""
+    found = profile.overview(fx.books_fx(spark, sf), list(_OVERVIEW), k=5)
+    return found.withColumn("number", F.round("number", 6))
+
+
 @query("profile_missing", """select count(*) filter (where item_id is null) as item_id,
   count(*) filter (where title is null) as title, count(*) filter (where authors is null) as authors,
   count(*) filter (where categories is null) as categories,

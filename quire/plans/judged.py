@@ -7,7 +7,7 @@ from the fitted model, the SQL side from the tables."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column
@@ -174,6 +174,62 @@ def als_checks(spark, sf):
     return pred.withColumns({c: per.select(c).scalar() for c in per.columns})
 
 
+@query("als_top5_checks", f"""with {_RATED},
+u as (select count(distinct user_id) as n from r where train)
+select u.n as users, u.n * 5 as recommended, cast(0 as bigint) as differing from u""")
+def als_top5_checks(spark, sf):
+    """The pruned search gives each user the scores, rank by rank, that the full product of all users and items gives."""
+    train, _, users, items = M._als_split(spark, sf)
+    model = recommend.als(train, seed=TRAIN_SEED)
+    full = recommend.recommend_for_all(model, 5, users, items, "user_id", "item_id").withColumnRenamed("score", "_full")
+    top = recommend.recommend_top(model, 5, users, items, "user_id", "item_id")
+    both = top.join(full.select("user_id", "rank", "_full"), ["user_id", "rank"], "full")
+    # Spark ML adds in single precision
+    same = F.coalesce(F.abs(F.col("score") - F.col("_full")) <= 1e-5 * (1 + F.abs("_full")), F.lit(False))
+    return both.agg(F.count_distinct("user_id").alias("users"), F.count("score").alias("recommended"),
+                    F.count(F.when(~same, 1)).alias("differing"))
+
+
+@query("als_optimality_checks", f"""with {_RATED}
+select (select count(distinct user_id) from r where train) as users, cast(0 as bigint) as not_optimal,
+  (select count(*) from warm) as predictions, true as rmse_agrees, true as better_than_constant""")
+def als_optimality_checks(spark, sf):
+    """Each user's factors solve their least squares, and the reported error is the one the exported factors give."""
+    train, test, _, _ = M._als_split(spark, sf)
+    model = recommend.als(train, seed=TRAIN_SEED)
+    users = recommend.optimality(model, train).agg(F.count(F.lit(1)).alias("users"),
+                                                   F.count(F.when(F.col("residual") > 1e-3, 1)).alias("not_optimal"))
+    own = recommend.factor_predictions(model, test)
+    error = F.col("rating") - F.col("_predicted")
+    own = own.agg(F.count(F.lit(1)).alias("predictions"), F.sqrt(F.avg(error * error)).alias("own"))
+    reported = supervised.rmse(model.transform(test), "rating")
+    spread = train.agg(F.sqrt(F.avg(F.col("rating") * F.col("rating")))).first()[0]  # the error of predicting 0
+    one = stage_table(own.withColumns({c: users.select(c).scalar() for c in users.columns}), "als-error")
+    return one.select("users", "not_optimal", "predictions", (F.abs(F.col("own") - reported) < 1e-5).alias("rmse_agrees"),
+                      (F.col("own") < spread).alias("better_than_constant"))
+
+
+@query("idf_stage_checks", """select count(*) as documents, cast(0 as bigint) as differing, true as rare_terms_weigh_more
+from docs_fx where text is not null""")
+def idf_stage_checks(spark, sf):
+    """The IDF stage's vectors are term frequency times ln((n + 1) / (document frequency + 1)), recounted per hash bucket."""
+    docs = fx.docs_fx(spark, sf).where(F.col("text").isNotNull()).select("doc_id", "text")
+    stages = supervised.text_features_stages("text", stopwords=M.ML_STOPWORDS)
+    out = Pipeline(stages=stages).fit(docs).transform(docs)
+    raw, weighted = F.unwrap_udt("raw_features"), F.unwrap_udt("features")
+    vectors = stage_table(out.select(raw["indices"].alias("at"), raw["values"].alias("tf"), weighted["indices"].alias("also"),
+                                     weighted["values"].alias("weight")), "vectors")
+    entries = vectors.select(F.inline(F.arrays_zip("at", "tf", "also", "weight")))
+    n = vectors.agg(F.count(F.lit(1)).alias("documents"))
+    buckets = entries.groupBy("at").agg(F.count(F.lit(1)).alias("df"))  # at most one row per hash bucket
+    want = F.col("tf") * F.log((n.scalar() + 1) / (F.col("df") + 1))
+    bad = F.coalesce((F.col("at") != F.col("also")) | (F.abs(F.col("weight") - want) > 1e-9), F.lit(True))
+    found = entries.join(buckets, "at").agg(
+        F.count(F.when(bad, 1)).alias("differing"),
+        F.coalesce(F.corr("df", F.col("weight") / F.col("tf")) < 0, F.lit(False)).alias("rare_terms_weigh_more"))
+    return found.select(n.scalar().alias("documents"), "differing", "rare_terms_weigh_more")
+
+
 @query("report_regression_metrics", M._REG_SQL + f""",
 e as (select score as y, score - (b0 + b1 * ratings_count + b2 * review_length) as err from merged_fx, c
   where {M._SPLIT} >= {M.TRAIN_CUT} and score is not null and ratings_count is not null and review_length is not null),
