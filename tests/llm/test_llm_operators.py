@@ -138,14 +138,23 @@ def test_passages_in_long_texts_and_small_batches(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, substring._windows([text], 20, 8)))
 
 
-def settled(texts, hot):
-    """Intervals of texts that meet after the shuffle, one text per batch."""
+class Marks:
+    """Answers that let every anchor through and hold the given ones for hot."""
+
+    def __init__(self, hot=()):
+        self.hot = np.array(hot, np.uint64)
+
+    def holds(self, hashes, name):
+        return np.ones(len(hashes), bool) if name == "often" else np.isin(hashes, self.hot)
+
+
+def settled(texts, hot, rounds=False):
+    """Intervals of texts that meet after the shuffle, one text per block."""
     import pyarrow as pa
-    parts = [b for i, t in enumerate(texts) for b in substring._emit(20, 8, hot)(iter([pa.RecordBatch.from_pydict(
-        {"doc": pa.array([i]), "version": pa.array([0], pa.int32()), "text": [t]})]))]
+    parts = [substring._combine(np.array([i]), np.array([0], np.int32), [t.encode()], 20, 8, i, Marks(hot)) for i, t in enumerate(texts)]
     rows = pa.Table.from_batches(parts).sort_by([(c, "ascending") for c in ("anchor", "doc", "version", "start")])
-    found = [r for b in substring._settle(20)(iter(rows.to_batches(max_chunksize=3))) for r in b.to_pylist()]
-    return sorted({(r["doc"], w) for r in found for w in range(r["start"], r["stop"])}), rows
+    found = [r for b in substring._settle(20, rounds)(iter(rows.to_batches(max_chunksize=3))) for r in b.to_pylist()]
+    return sorted({(r["doc"], w) for r in found if r["stop"] for w in range(r["start"], r["stop"])}), rows, [r for r in found if not r["stop"]]
 
 
 def test_passages_with_one_anchor_and_like_hashes(monkeypatch):
@@ -156,26 +165,31 @@ def test_passages_with_one_anchor_and_like_hashes(monkeypatch):
     run = min((" ".join(f"common{k}n{i}" for i in range(8)) for k in range(2000)), key=anchor)  # below most other hashes
     texts = [" ".join([*(f"a{i}x{j}" for j in range(12)), run, *(f"b{i}x{j}" for j in range(12))]) for i in range(40)] * 2
     want = [(d, w) for d in range(40, 80) for w in range(32)]
-    _, rows = settled(texts, np.empty(0, np.uint64))
+    _, rows, _ = settled(texts, [])
     hot = np.unique(rows["anchor"].to_numpy()).view(np.uint64)
     assert settled(texts, hot)[0] == want
-    # a hot anchor's windows travel one by one, under keys of their own
+    # a hot anchor's windows travel one by one, under keys of their own; of each the first copy goes on to the second round
     shared = np.unique(rows["anchor"].to_numpy(), return_counts=True)[1].max()
-    alone = np.unique(settled(texts, hot)[1]["anchor"].to_numpy(), return_counts=True)[1].max()
-    assert shared >= 40 and alone <= 2
+    _, single, on = settled(texts, hot, rounds=True)
+    assert shared >= 40 and np.unique(single["anchor"].to_numpy(), return_counts=True)[1].max() <= 2
+    assert len(on) == 40 * 13 and all(r["hot"] and len(r["windows"]) == 1 + substring.HASH_BYTES for r in on)
     rolling = substring.rolling
     with monkeypatch.context() as m:  # windows that agree in 40 bits
         m.setattr(substring, "rolling", lambda v, a, b: rolling(v, a, b) & np.uint64(0xFFFFFF0000000000))
-        assert settled(texts, np.empty(0, np.uint64))[0] == want
+        assert settled(texts, [])[0] == want
     monkeypatch.setattr(substring, "word_hashes", lambda buf, a, b: np.zeros(len(a), np.uint64))
-    assert settled(texts, np.empty(0, np.uint64))[0] == want  # the second hash alone
+    assert settled(texts, [])[0] == want  # the second hash alone
 
 
-def test_hot_anchors_leave_the_result(docs):
-    spread = lambda **how: rows_of(substring.removal_intervals(docs, **how).select(
-        "doc", "version", F.explode(F.sequence("start", F.col("stop") - 1))).distinct())
-    assert len(substring.hot_anchors(substring._keyed(docs, "doc_id", "text"), hot_rows=1, sample=1)) > 1
-    assert spread(hot_rows=1, sample=1) == spread()
+@pytest.mark.parametrize("hot_rows,size", [(0, 300), (0, 1 << 20), (3, 300), (1 << 14, 300), (1 << 14, 1)])
+def test_hot_anchors_and_blocks_leave_the_result(docs, hot_rows, size):
+    assert rows_of(substring.deduplicate(docs, hot_rows=hot_rows, block_bytes=size)) == rows_of(substring.deduplicate(docs))
+
+
+def test_a_passage_in_very_many_blocks(spark):
+    rows = spark.range(400).selectExpr("id AS doc_id", f"concat('own', id, ' {PASSAGE} end', id) AS text").repartition(4)
+    got = substring.deduplicate(rows, hot_rows=5, block_bytes=500).groupBy("n_removed").count().collect()
+    assert {tuple(r) for r in got} == {(0, 1), (60, 399)}
 
 
 def test_fingerprints_and_edits(docs, none):
@@ -292,15 +306,30 @@ def test_mixing(docs, none):
 
 
 def test_the_mix_is_sent_in_order_of_finish(docs, none):
-    queued = mixing.queue(docs)
-    order = mixing.schedule(queued).collect()
-    assert [r["finish"] for r in order] == sorted(r["finish"] for r in order) and len({r["source"] for r in order}) > 2
+    queued = mixing.queue(docs).cache()
+    rows = queued.collect()
+    budget, total, want = sum(r["size"] for r in rows), 0, []
+    turns = [((e * r["source_size"] + r["ahead"] + r["size"]) / r["target"], r["source"] is None, r["source"] or "", e, r["ahead"], r)
+             for r in rows if r["size"] and r["target"] for e in range(3)]
+    for *_, r in sorted(turns, key=lambda t: t[:5]):
+        if total < budget:
+            want.append((r["id"], r["source"], min(r["size"], budget - total), total))
+        total += r["size"]
+    order = sorted(mixing.schedule(queued).collect(), key=lambda r: r["before"])
+    assert [(r["id"], r["source"], r["words"], r["before"]) for r in order] == want and len({r["source"] for r in order}) > 2
     sent = [(r["doc_id"], len(WORD.findall(r["text"]))) for r in mixing.mixed_texts(docs).collect()]
-    assert sent == [(r["id"], r["words"]) for r in order]
-    assert sum(r["words"] for r in order) == mixing.taken(queued).agg(F.sum("taken")).first()[0]
+    assert sum(n for _, n in sent) == budget and [n for _, n in sent] == [w for _, _, w, _ in want]
+    assert mixing.taken(queued).agg(F.sum("taken")).first()[0] == budget
     assert mixing.mixed_texts(none).count() == 0
 
 
+def test_sources_come_near_their_targets(spark):
+    rows = [(i, "word " * (1 + i * i % 50), f"s{i * i % 7 % 4}") for i in range(3000)]
+    got = mixing.taken(mixing.queue(spark.createDataFrame(rows, "doc_id long, text string, source string"))).toPandas()
+    per = got.groupby("target").taken.sum()
+    assert (abs(per - per.index) <= 100).all() and (got.taken <= 3 * got["size"]).all()
+
+
 def test_first_words(spark):
     df = spark.createDataFrame([(" a  b\tc ", n) for n in (1, 2, 3, 4)], "t string, n long")
     assert [r[0] for r in df.select(mixing.first_words(F.col("t"), F.col("n"))).collect()] == [" a", " a  b", " a  b\tc", " a  b\tc "]
