@@ -4,8 +4,8 @@ Each task turns its texts into shards of about a million words per language and
 Burrows-Wheeler transforms of the word ids read forwards and backwards, sorted by as many words as the longest phrase has, which is
 as deep as intervals are extended. All phrases of a shard are enumerated level by level, by extending every interval one
 word to the right (in the backward transform) and to the left (in the forward one) in turn; both intervals of a phrase are kept, their
-width is its count. Counts are summed across shards in two steps: first short hashes with counts up to the threshold, dealt by
-hash range, tell which phrases can reach the threshold at all; then the shards give the words of those, and Spark sums them exactly. A
+width is its count. Counts are summed across shards in two steps: first short hashes with counts up to the threshold
+(``tally``) tell which phrases can reach the threshold at all; then the shards give the words of those, and Spark sums them exactly. A
 hash that stands for several phrases only lets some rare phrases through to the exact sum."""
 
 from __future__ import annotations
@@ -24,13 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm import tally
 from quire.llm.common import mix, staged, text_of
 from quire.operators.ranking import top_k_per_group
 
 SHARD_WORDS = 1 << 20
 PART_BYTES = 1 << 20
-BUCKET_WORDS = 1 << 20  # words of text whose phrases meet in one hash range
-HASH_BYTES = 6  # of a phrase, beside the range it falls into
 
 _STOP = 0xFF  # occurs in no UTF-8 text
 _LETTERS = bytearray(range(256))
@@ -141,15 +140,14 @@ class _Shard:
         names = list(self.code) if tail else []
         return [names[x] for x in tail]
 
-    def row(self, lang: str, name: str) -> dict:
+    def row(self, lang: str, name: int) -> dict:
         ids = np.append(np.frombuffer(self.ids, np.int32), np.int32(0))
-        pack = zstandard.ZstdCompressor(level=1).compress
         return {"lang": lang, "shard": name, "n": int(np.count_nonzero(ids)) - self.carried, "carried": self.carried,
-                "lead": ids[1:1 + self.carried].tobytes(), "words": pack(bytes([_STOP]).join(list(self.code)[1:])),
-                "forward": pack(_transform(ids, self.depth).tobytes()), "backward": pack(_transform(ids[::-1], self.depth).tobytes())}
+                "lead": ids[1:1 + self.carried].tobytes(), "words": zstandard.compress(bytes([_STOP]).join(list(self.code)[1:])),
+                "forward": _packed(_transform(ids, self.depth)), "backward": _packed(_transform(ids[::-1], self.depth))}
 
 
-_INDEX = ("lang string, shard string, n long, carried int, lead binary, words binary, forward binary, backward binary")
+_INDEX = ("lang string, shard long, n long, carried int, lead binary, words binary, forward binary, backward binary")
 
 
 def shards(docs: DataFrame, depth: int, lang: str = "lang", text: str = "text", shard_words: int = SHARD_WORDS,
@@ -159,7 +157,7 @@ def shards(docs: DataFrame, depth: int, lang: str = "lang", text: str = "text",
         task, number, open_ = TaskContext.get().partitionId(), count(), {}
 
         def closed(key: str) -> pa.RecordBatch:
-            row = open_.pop(key).row(key, f"{task}-{next(number)}")
+            row = open_.pop(key).row(key, (task << 32) + next(number))
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
@@ -184,18 +182,27 @@ def shards(docs: DataFrame, depth: int, lang: str = "lang", text: str = "text",
         for key in sorted(open_):
             yield closed(key)
 
-    schema = pa.schema([("lang", pa.string()), ("shard", pa.string()), ("n", pa.int64()), ("carried", pa.int32()), ("lead", pa.binary()),
+    schema = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("n", pa.int64()), ("carried", pa.int32()), ("lead", pa.binary()),
                         ("words", pa.binary()), ("forward", pa.binary()), ("backward", pa.binary())])
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), text_of(text).alias("text"))
     return rows.mapInArrow(scan, _INDEX)
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Compressed byte by byte of the ids, as the upper bytes vary little."""
+    return zstandard.compress(np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def _opened(row: dict) -> tuple[list[bytes], BiIndex]:
     """Words by id (the separator first) and the index of a shard."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    words = unpack(row["words"])
+    words = zstandard.decompress(row["words"])
     return ([b""] + (words.split(bytes([_STOP])) if words else []),
-            BiIndex(np.frombuffer(unpack(row["forward"]), np.int32), np.frombuffer(unpack(row["backward"]), np.int32)))
+            BiIndex(_unpacked(row["forward"]), _unpacked(row["backward"])))
 
 
 def _hashes(words: np.ndarray, of_word: np.ndarray, lang: str) -> np.ndarray:
@@ -211,54 +218,36 @@ def _of_words(names: list[bytes]) -> np.ndarray:
 
 # --- sums across shards --------------------------------------------------------------------------
 
-def _hopeful(index: DataFrame, depth: int, min_count: int, bits: int) -> DataFrame:
-    """(shard, found): hashes of a shard's phrases whose hash reaches ``min_count`` over all shards, one row per hash range."""
-    kind = np.uint8 if min_count < 256 else np.uint32
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                names, found = _opened(row)
-                of_word = _of_words(names)
-                parts = [(_hashes(w, of_word, row["lang"]), np.minimum(c, min_count).astype(kind)) for w, c in found.levels(depth)]
-                hashes, counts = (np.concatenate(x) for x in zip(*parts))
-                order = np.argsort(hashes)
-                hashes, counts = hashes[order], counts[order]
-                cuts = np.append(np.searchsorted(hashes, edges), len(hashes))
-                low = np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
-                full = np.flatnonzero(np.diff(cuts))
+def _tallied(depth: int, bits: int, cap: int):
+    """The hashes of all phrases of each shard, with their counts."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in tally.each(batches):
+            names, found = _opened(row)
+            of_word = _of_words(names)
+            hashes, counts = (np.concatenate(x) for x in zip(*[(_hashes(w, of_word, row["lang"]), c) for w, c in found.levels(depth)]))
+            order = np.argsort(hashes)
+            yield tally.packed(row["shard"], hashes[order], counts[order], bits, cap)
+    return rows
+
+
+def _given(depth: int, bits: int):
+    """The phrases of each shard whose hashes came back, in words."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in tally.each(batches):
+            names, found = _opened(row)
+            of_word, answers = _of_words(names), tally.Answers(row["answers"], bits)
+            lead = np.frombuffer(row["lead"], np.int32)
+            for words, counts in found.levels(depth):
+                hit = answers.holds(_hashes(words, of_word, row["lang"]), "often")
+                words, counts = words[hit], counts[hit]
+                d = words.shape[1]
+                twice = [lead[i:i + d] for i in range(len(lead) - d + 1)]  # counted in the shard before
+                phrases = [b" ".join(map(names.__getitem__, w)) for w in [*words.tolist(), *twice]]
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(full, pa.int32()), "shard": [row["shard"]] * len(full),
-                    "hashes": [low[cuts[b]:cuts[b + 1]].tobytes() for b in full],
-                    "counts": [counts[cuts[b]:cuts[b + 1]].tobytes() for b in full]})
-
-    def met(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x.as_py(), np.uint8) for x in table["hashes"]]
-        sizes = np.array([len(x) // HASH_BYTES for x in hashes])
-        wide = np.zeros((int(sizes.sum()), 8), np.uint8)
-        wide[:, :HASH_BYTES] = np.concatenate(hashes).reshape(-1, HASH_BYTES)
-        values = wide.view(np.uint64).ravel()
-        counts = np.concatenate([np.frombuffer(x.as_py(), kind) for x in table["counts"]])
-        order = np.argsort(values, kind="stable")
-        values = values[order]
-        first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-        total = np.add.reduceat(counts[order].astype(np.int64), first)
-        often = np.empty(len(values), bool)
-        often[order] = np.repeat(total >= min_count, np.diff(np.append(first, len(values))))
-        keep, names, out, at = table["shard"].to_pylist(), [], [], 0
-        for name, size, raw in zip(keep, sizes, hashes):
-            hit = often[at:at + size]
-            at += size
-            if hit.any():
-                names.append(name)
-                out.append(raw.reshape(-1, HASH_BYTES)[hit].tobytes())
-        return pa.table({"bucket": pa.array([table["bucket"][0].as_py()] * len(names), pa.int32()), "shard": pa.array(names, pa.string()),
-                         "found": pa.array(out, pa.binary())})
-
-    rows = index.select("lang", "shard", "words", "forward", "backward").mapInArrow(
-        counted, "bucket int, shard string, hashes binary, counts binary")
-    return rows.groupBy("bucket").applyInArrow(met, "bucket int, shard string, found binary")
+                    "lang": pa.array([row["lang"]] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
+                    "words": pa.array([d] * len(phrases), pa.int32()),
+                    "a": pa.array([*counts.tolist(), *[-1] * len(twice)], pa.int64())})
+    return rows
 
 
 def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, lang: str = "lang", text: str = "text",
@@ -268,48 +257,15 @@ def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, lang: st
     index = staged(shards(docs, depth, lang, text, shard_words), "phrase-index")
     totals = index.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     n = index.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, int(n * depth // BUCKET_WORDS).bit_length())
-    hopeful = _hopeful(index, depth, min_count, bits).groupBy("shard").agg(
-        F.collect_list(F.struct("bucket", "found")).alias("hopeful"))
-
-    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                names, found = _opened(row)
-                of_word = _of_words(names)
-                keep = []
-                for part in row["hopeful"]:
-                    wide = np.zeros((len(part["found"]) // HASH_BYTES, 8), np.uint8)
-                    wide[:, :HASH_BYTES] = np.frombuffer(part["found"], np.uint8).reshape(-1, HASH_BYTES)
-                    keep.append((wide.view(np.uint64).ravel(), part["bucket"]))
-                lows = np.concatenate([v for v, _ in keep])
-                ranges = np.concatenate([np.full(len(v), b, np.uint64) for v, b in keep])
-                keep = np.unique(_known(lows, ranges))
-                lead = np.frombuffer(row["lead"], np.int32)
-                for words, counts in found.levels(depth):
-                    hashes = _hashes(words, of_word, row["lang"])
-                    at = _known(hashes & np.uint64((1 << 8 * HASH_BYTES) - 1), hashes >> np.uint64(64 - bits) if bits else 0)
-                    hit = keep[np.minimum(np.searchsorted(keep, at), len(keep) - 1)] == at
-                    words, counts = words[hit], counts[hit]
-                    d = words.shape[1]
-                    twice = [lead[i:i + d] for i in range(len(lead) - d + 1)]  # counted in the shard before
-                    phrases = [b" ".join(map(names.__getitem__, w)) for w in [*words.tolist(), *twice]]
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([row["lang"]] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                        "words": pa.array([d] * len(phrases), pa.int32()),
-                        "a": pa.array([*counts.tolist(), *[-1] * len(twice)], pa.int64())})
-
-    rows = index.select("lang", "shard", "lead", "words", "forward", "backward").join(hopeful, "shard") \
-        .mapInArrow(given, "lang string, phrase string, words int, a long")
+    bits, cap = tally.range_bits(n * depth), min_count
+    answers = tally.frequent(index.select("lang", "shard", "words", "forward", "backward").mapInArrow(
+        _tallied(depth, bits, cap), tally.ROWS), min_count, cap).withColumnRenamed("block", "shard")
+    rows = index.select("lang", "shard", "lead", "words", "forward", "backward").join(answers, "shard") \
+        .mapInArrow(_given(depth, bits), "lang string, phrase string, words int, a long")
     found = rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= min_count)
     return staged(found, "phrases"), totals
 
 
-def _known(low: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
-    """One number per (hash range, short hash); ranges use the upper bits, folded in where they overlap the short hash."""
-    return mix(low ^ (np.uint64(bucket) << np.uint64(8 * HASH_BYTES)) ^ (np.uint64(bucket) * np.uint64(0x9E3779B97F4A7C15)))
-
-
 def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int = 50, k: int = 2000, lang: str = "lang",
                  text: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``k`` phrases of 2 to ``max_words`` words of each language that stick together most.

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_stream, merkle, phrases
+from quire.llm import bpe_stream, merkle, phrases, tally
 from quire.llm.queries import word_tokenizer
 
 TEXTS = ["", None, "A b a B a b. a b a b!\tc\r\nd  e ", "the end", "the the the the, the the", "x" * 300 + " y", "é É ß. é É ß",
@@ -130,7 +130,7 @@ def phrase_rows():
 @pytest.mark.parametrize("depth", [2, 3, 4])
 def test_collocations(spark, monkeypatch, shard, part, depth):
     rows = phrase_rows()
-    monkeypatch.setattr(phrases, "BUCKET_WORDS", 1000)
+    monkeypatch.setattr(tally, "range_bits", lambda n, per_range=1000: int(n // per_range).bit_length())
     cut = phrases.shards
     monkeypatch.setattr(phrases, "shards", lambda *a: cut(*a, part_bytes=part))
     df = spark.createDataFrame([(*r, 1, "q") for r in rows], "lang string, text string, n int, phrase string").repartition(3)
