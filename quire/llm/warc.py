@@ -20,17 +20,16 @@ END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BATCH_BYTES = 8 << 20
+FILE_RECORDS = 30_000  # records per archive file, as files are read whole
+GZIP_PART = 1 << 16
 #: response kinds, the anchors of a capture
 ANCHORS = ("response", "revisit", "resource")
 
 
-def sha1_base32(payload: Column) -> Column:
-    """Upper-case base32 of the SHA-1 (160 bits: 32 digits, no padding)."""
-    def digits(group: Column) -> Column:
-        value = F.conv(F.substr(F.sha1(payload), group * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        digit = [F.substr(F.lit(BASE32), F.shiftright(value, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-        return F.concat(*digit)
-    return F.concat(*[digits(F.lit(g)) for g in range(8)])
+def sha1_base32(sha1: Column) -> Column:
+    """Upper-case base32 of a SHA-1 given in hex (160 bits: 32 digits, no padding), 40 bits at a time."""
+    groups = [F.lpad(F.conv(F.substr(sha1, F.lit(at), F.lit(10)), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def _block(*headers: tuple[str, Column | str | None]) -> Column:
@@ -39,11 +38,12 @@ def _block(*headers: tuple[str, Column | str | None]) -> Column:
     return F.concat_ws(END, F.lit("WARC/1.1"), *lines)
 
 
-def _record(kind: str | Column, own: Column, body: Column, content: str, *more: tuple[str, Column | str]) -> Column:
+def _record(kind: str | Column, own: Column, start: Column, content: str, *more: tuple[str, Column | str], rest: Column | None = None) -> Column:
+    """A record whose block is ``start`` and then ``rest``, which may be long: it enters the text once."""
+    size = F.octet_length(start) if rest is None else F.octet_length(start) + F.octet_length(rest)
     head = _block(("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Date", F.col("date")),
-                  ("WARC-Target-URI", F.col("uri")), *more, ("Content-Type", content),
-                  ("Content-Length", F.octet_length(body).cast("string")))
-    return F.concat(head, F.lit(END * 2), body)
+                  ("WARC-Target-URI", F.col("uri")), *more, ("Content-Type", content), ("Content-Length", size.cast("string")))
+    return F.concat(head, F.lit(END * 2), start, *([] if rest is None else [rest]))
 
 
 def write(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "url", payload: str = "html",
@@ -58,14 +58,16 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "u
     for c in ("%0D", "%0A", "%09", "%20"):
         uri = F.replace(uri, F.lit(bytes.fromhex(c[1:]).decode()), F.lit(c))
     rows = pages.select(F.col(id_column).alias("id"), uri.alias("uri"),
-                        F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("body")) \
-        .withColumn("digest", sha1_base32(F.col("body")))
+                        F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("body"))
+    rows = rows.withColumn("sha1", F.sha1("body")).withColumn("digest", sha1_base32(F.col("sha1"))).drop("sha1")
     narrow = staged(rows.select("id", "digest", F.octet_length("body").alias("bytes")), "warc-digests")
-    latest = narrow.groupBy("digest").agg(F.max("id").alias("latest"), F.max("bytes").alias("bytes"))
-    decided = narrow.select("id", "digest").distinct().join(latest, "digest").select(
-        F.col("id").alias("of"), F.col("digest").alias("of_digest"),
-        ((F.col("bytes") < min_bytes) | F.col("id").eqNullSafe(F.col("latest"))).alias("fresh"))
-    named = rows.join(decided, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")))
+    # the rows that revisit another: written first, so that Spark knows their size when it plans the join with the pages
+    latest = narrow.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.max("id").alias("latest"), F.count("*").alias("n")) \
+        .where("n > 1")
+    again = narrow.join(latest, "digest").where(~F.col("id").eqNullSafe(F.col("latest"))).select(
+        F.col("id").alias("of"), F.col("digest").alias("of_digest"), F.lit(True).alias("old")).distinct()
+    named = rows.join(staged(again, "warc-revisits"), F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")), "left")
+    named = named.withColumn("fresh", F.col("old").isNull()).drop("of", "of_digest", "old")
     # the identifier of a capture: its content and its place in this one write, unique among repeated rows
     place = F.md5(F.concat_ws("|", F.col("id").cast("string"), "uri", "digest", F.monotonically_increasing_id().cast("string")))
     named = named.withColumn("date", F.lit(date)).withColumn("place", place)
@@ -86,26 +88,40 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "u
     fields = F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit(END)), F.lit(""))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest"))
     http = "application/http; msgtype="
-    answer = F.when(F.col("fresh"), _record("response", main, F.concat(head, "body"), http + "response", digest)) \
-        .otherwise(_record("revisit", main, head, http + "response", digest, ("WARC-Profile", PROFILE)))
+    named = named.withColumn("head", head)
+    answer = _record(F.when(F.col("fresh"), "response").otherwise("revisit"), main, F.col("head"), http + "response", digest,
+                     ("WARC-Profile", F.when(~F.col("fresh"), PROFILE)), rest=F.when(F.col("fresh"), F.col("body")).otherwise(""))
     records = F.array(_record("request", name("request"), request, http + "request", ("WARC-Concurrent-To", main)),
                       answer,
                       _record("metadata", name("metadata"), fields, "application/warc-fields",
                               ("WARC-Concurrent-To", main)))
-    named.select(F.explode(records).alias("value")).write.option("lineSep", END * 2).option("compression", "gzip").text(path)
+    named.select(F.explode(records).alias("value")).write.option("lineSep", END * 2).option("compression", "gzip") \
+        .option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+
+def _members(data: bytes) -> bytes:
+    """The content of a gzip file of one or many members, each read once."""
+    plain, at = [], 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof and at < len(data):
+            part = data[at:at + GZIP_PART]
+            plain.append(member.decompress(part))
+            at += len(part) - len(member.unused_data)
+        if not member.eof:
+            raise ValueError("gzip member is cut off")
+        while data[at:at + 1] == b"\0":  # padding
+            at += 1
+    return b"".join(plain)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict, bytes]]:
     """The records of an archive file: headers by lower-case name, and the block.
 
-    Plain, or gzip of one or many members. A record without a readable length ends the reading with an error."""
+    Plain, or gzip of one or many members. A record without a readable length, or one that is cut off, ends the
+    reading with an error."""
     if data[:2] == b"\x1f\x8b":
-        plain, rest = [], data
-        while rest:
-            member = zlib.decompressobj(31)
-            plain.append(member.decompress(rest) + member.flush())
-            rest = member.unused_data.lstrip(b"\0")
-        data = b"".join(plain)
+        data = _members(data)
     at = 0
     while True:
         while data[at:at + 2] == b"\r\n":
@@ -119,6 +135,8 @@ def parse(data: bytes) -> Iterator[tuple[dict, bytes]]:
         if end < 0 or not lines[0].startswith(b"WARC/") or not headers.get("content-length", "").isdigit():
             raise ValueError(f"no WARC record at byte {at}")
         size = int(headers["content-length"])
+        if end + 4 + size > len(data):
+            raise ValueError(f"WARC record at byte {at} is cut off")
         yield headers, data[end + 4:end + 4 + size]
         at = end + 4 + size
 
@@ -190,9 +208,10 @@ def archive_captures(pages: DataFrame, id_column: str = "page_id", url: str = "u
     found = read(spark, path)
     fresh = F.col("type") == "response"
     found = found.withColumn("payload_bytes", F.when(fresh, F.octet_length("payload").cast("long"))) \
-        .withColumn("digest", F.when(fresh, sha1_base32(F.col("payload")))
+        .withColumn("sha1", F.sha1("payload")) \
+        .withColumn("digest", F.when(fresh, sha1_base32(F.col("sha1")))
                     .otherwise(F.regexp_replace("declared_digest", "^sha1:", ""))) \
-        .withColumn("fields", F.when(F.col("type") == "metadata", F.col("payload").cast("string"))).drop("payload")
+        .withColumn("fields", F.when(F.col("type") == "metadata", F.col("payload").cast("string"))).drop("payload", "sha1")
     kind = pages.schema[id_column].dataType.simpleString()
     page = F.nullif(F.regexp_extract(F.get("metadata", 0)["fields"], r"(?m)^page-id: (.*?)\r?$", 1), F.lit(""))
     captures = staged(assemble(found).select(page.cast(kind).alias("id"), "response.type", "response.digest", "response.payload_bytes"),
