@@ -1,9 +1,9 @@
 """Mixing sources to target weights by weighted fair queueing, with DataFrame functions only.
 
 Every source is a queue of its documents in a shuffled order that a seed and the document fix, repeated up to ``epochs`` times.
-A document's virtual finish time is the tokens its source has queued up to its end, divided by the source's target. Documents are
-sent in the order of that time, over all sources, until the total budget is spent: at that moment the documents in service
-are cut to the words they have sent."""
+A document's virtual finish time is the tokens its source has queued up to its end, divided by the source's target. All queued
+documents are range-sorted by that time, a running total follows from the totals of the ranges, and the sequence is truncated
+where the total budget is spent: the document at the cut keeps the words that still fit."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import WORD, staged, text_of
+from quire.operators.ranking import weighted_positions
 
 EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -44,8 +45,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPO
 
 def queue(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS,
           epochs: int = EPOCHS, seed: int = SEED, keep: list[str] = ()) -> DataFrame:
-    """(id, version, size, source, source_size, target, ahead) and the columns ``keep``: ``ahead`` is what the source
-    queues before the document in one epoch.
+    """(id, version, size, source, source_size, target, ahead, place) and the columns ``keep``: ``ahead`` is what the source
+    queues before the document in one epoch, ``place`` a number of the row within its source.
 
     The running sum of a source goes over hash buckets of its shuffled order, so a source with a third of all documents is many
     small windows. ``version`` is a hash of the text; equal rows are interchangeable."""
@@ -67,44 +68,38 @@ def queue(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("of"), F.col("bucket").alias("of_bucket"),
                        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
-    own = shuffled.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    own = shuffled.withColumns({"inner": F.coalesce(F.sum("size").over(inside), F.lit(0)),
+                                "place": F.col("bucket") * (1 << 32) + F.count(F.lit(1)).over(inside)})
     placed = own.join(sums, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("of_bucket")))
     return placed.select("id", "version", "size", "source", "source_size", "target",
-                         (F.col("base") + F.col("inner")).alias("ahead"), *keep)
-
-
-def _turns(epochs: int) -> Column:
-    """Of a queued document: (finish, epoch, start, words) of every epoch that starts before the budget ends.
-
-    Virtual times run from 0 to 1: at any time t every source has sent t times its target and all sources t times the
-    budget, so the budget is spent at time 1, which is where the sorted sequence is truncated, to the word. ``words`` is
-    what the document has sent by then."""
-    def turn(epoch: Column) -> Column:
-        begin = epoch * F.col("source_size") + F.col("ahead")
-        # half a word of tolerance, so a target that is a whole number but for rounding sends all its words
-        sent = F.floor(F.col("target") + 0.5) - begin
-        return F.struct(F.try_divide(begin + F.col("size"), F.col("target")).alias("finish"), epoch.alias("epoch"),
-                        F.try_divide(begin, F.col("target")).alias("start"),
-                        F.greatest(F.lit(0), F.least(F.col("size"), sent)).cast("long").alias("words"))
-
-    each = F.array(*[turn(F.lit(e)) for e in range(epochs)])
-    return F.filter(each, lambda t: (t["words"] > 0) & (t["start"] < 1))
+                         (F.col("base") + F.col("inner")).alias("ahead"), "place", *keep)
 
 
 def schedule(queued: DataFrame, epochs: int = EPOCHS) -> DataFrame:
-    """One row per document and epoch that starts before the budget ends, in the order of sending: by ``finish``, then source,
-    place in its queue and epoch. Adds (epoch, start, finish, words)."""
-    turns = queued.withColumn("_turn", F.explode(_turns(epochs)))
-    turns = turns.select(*queued.columns, *[F.col(f"_turn.{c}") for c in ("epoch", "start", "finish", "words")])
-    return turns.orderBy("finish", F.col("source").asc_nulls_last(), "epoch", "ahead", F.col("id").asc_nulls_first())
+    """The mix: one row per document and epoch it is sent in, with (epoch, finish, before, words) beside the columns of ``queued``.
+
+    ``before`` is the number of words sent earlier, ``words`` what the document sends: all of its words, but for the one at which
+    the budget (the words of all documents) runs out. Equal finish times go by source, epoch and place in the queue. Documents
+    without words, and sources without a target, send nothing."""
+    budget = queued.agg(F.sum("size")).first()[0] or 0
+    end = F.col("epoch") * F.col("source_size") + F.col("ahead") + F.col("size")
+    turns = queued.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))) \
+        .withColumn("finish", F.try_divide(end, F.col("target"))).where("finish IS NOT NULL")
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("epoch"), F.col("ahead"), F.col("id").asc_nulls_first(), F.col("version")]
+    sent = weighted_positions(turns, order, "size").where(F.col("_before") < budget)
+    return sent.select(*queued.columns, "epoch", "finish", F.col("_before").alias("before"),
+                       F.least(F.col("size"), F.lit(budget) - F.col("_before")).cast("long").alias("words"))
 
 
 def taken(queued: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """(id, size, source_size, target, taken): one row per document; ``taken`` counts its words in the mix over all epochs.
 
     Null texts have size 0 and take 0; a null source is a source of its own, last in order. Empty table: no rows."""
-    words = F.aggregate(_turns(epochs), F.lit(0).cast("long"), lambda n, t: n + t["words"])
-    return queued.select("id", "size", "source_size", "target", words.alias("taken"))
+    columns = ["id", "size", "source_size", "target"]
+    sent = schedule(queued, epochs).select("source", "place", *columns, "words")
+    # rows that send nothing are in neither sum of turns
+    all_rows = sent.unionByName(queued.select("source", "place", *columns, F.lit(0).cast("long").alias("words")))
+    return all_rows.groupBy("source", "place", *columns).agg(F.sum("words").alias("taken")).select(*columns, "taken")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -120,21 +115,11 @@ def first_words(text: Column, n: Column) -> Column:
 def mixed_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """The mix itself, with the columns of ``docs``, in the order of sending (see ``schedule``): a document once per epoch
-    that sends it; a document in service when the budget ends keeps its first words. Fully repeated rows are as many as the mix sends of them."""
-    def key(a: Column, version: Column, b: Column) -> Column:  # one column, so that rows are shuffled once
-        return F.concat_ws("|", F.coalesce(a.cast("string"), F.lit("")), version.cast("string"),
-                           b.isNull().cast("string"), F.coalesce(b.cast("string"), F.lit("")))
-
-    sent = queue(docs, id_column, text, source, weights, epochs, seed)
-    sent = sent.select(key(F.col("id"), F.col("version"), F.col("source")).alias("_key"), F.col("ahead").alias("_ahead"),
-                       F.col("size").alias("_size"), _turns(epochs).alias("_turns"))
-    # repeated rows are numbered on both sides
-    sent = sent.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy("_ahead")))
-    mine = docs.withColumn("_key", key(F.col(id_column), F.md5(text_of(text)), F.col(source)))
-    mine = mine.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
-    both = mine.join(sent, (mine["_key"] == sent["_key"]) & (F.col("_nth") - F.col("_place") == 0)).drop("_key")
-    both = both.withColumn("_turn", F.explode("_turns")).drop("_turns").withColumn("_words", F.col("_turn.words"))
-    both = both.orderBy("_turn.finish", F.col(source).asc_nulls_last(), "_turn.epoch", "_ahead", F.col(id_column).asc_nulls_first())
+    that sends it; the one at which the budget ends keeps its first words. Fully repeated rows are as many as the mix sends of them."""
+    rows = staged(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    sent = schedule(queue(rows, id_column, text, source, weights, epochs, seed, keep=["_mix_row"]), epochs)
+    turns = sent.select("_mix_row", F.col("before").alias("_mix_before"), F.col("words").alias("_mix_words"), F.col("size").alias("_mix_size"))
+    both = rows.join(turns, "_mix_row").orderBy("_mix_before")
     whole = F.col(text)
-    return both.withColumn(text, F.when(F.col("_words") < F.col("_size"), first_words(whole, F.col("_words"))).otherwise(whole)) \
+    return both.withColumn(text, F.when(F.col("_mix_words") < F.col("_mix_size"), first_words(whole, F.col("_mix_words"))).otherwise(whole)) \
         .select(*docs.columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from quire.llm import mixing, secret_scan
 
 OP1 = """
@@ -49,15 +47,9 @@ found AS (SELECT doc_id, CAST(s AS BIGINT) AS s, rank, CAST(s + length(value) AS
 _JOIN = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank), '')"
 
 _ASSIGN = secret_scan.ASSIGN
-_F = f"list_value({', '.join(str(round(c * math.log2(c) * (1 << 20)) if c else 0) for c in range(secret_scan.WINDOW + 1))})"
+_F = f"list_value({', '.join(map(str, secret_scan.unit_terms()))})"
 _W = secret_scan.WINDOW
-
-
-def _limit(name: str) -> int:
-    return int(_W * (math.log2(_W) - secret_scan.CLASSES[name][1]) * (1 << 20))
-
-
-_DENY = " OR ".join(f"regexp_matches(value, $q${p.replace(')++', ')+')}$q$)" for p in secret_scan.ALLOW)
+_DENY = " OR ".join(f"regexp_matches(value, $q${p}$q$)" for p in secret_scan.ALLOW)
 OP4 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 {_spans('d', [('assign', _ASSIGN, f"length(regexp_extract(value, $q${_ASSIGN}$q$, 2)) >= 12"),
@@ -66,14 +58,15 @@ cm AS (SELECT doc_id, regexp_extract_all(text, $q${secret_scan.CANDIDATE}$q$) AS
 cl AS (SELECT doc_id, v[i] AS value,
               coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: length(x))), 0) AS s
        FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM cm WHERE len(v) > 0)),
-cw AS (SELECT doc_id, s, value, regexp_matches(value, '^[0-9A-Fa-f]+$') AS hexed, unnest(range({_W}, length(value) + 1)) AS e
-       FROM cl WHERE NOT ({_DENY})),
-ch AS (SELECT doc_id, s, hexed, e, list_sum(list_transform(list_distinct(string_split(substr(value, e - {_W - 1}, {_W}), '')),
-         lambda c: {_F}[1 + {_W} - length(replace(substr(value, e - {_W - 1}, {_W}), c, ''))])) AS h, value FROM cw),
+cw AS (SELECT doc_id, s, e, substr(value, e - {_W - 1}, {_W}) AS value FROM (SELECT *, unnest(range({_W}, length(value) + 1)) AS e FROM cl)),
+ch AS (SELECT *, regexp_matches(value, '^[0-9A-Fa-f]+$') AS hexed, list_sum(list_transform(list_distinct(string_split(value, '')),
+         lambda c: {_F}[1 + {_W} - length(replace(value, c, ''))])) AS h FROM cw),
+hit AS (SELECT doc_id, s, e, hexed FROM ch WHERE h <= CASE WHEN hexed THEN {secret_scan.unit_limit(secret_scan.CLASSES['entropy_hex'])}
+          ELSE {secret_scan.unit_limit(secret_scan.CLASSES['entropy_base64'])} END AND NOT ({_DENY})),
+cut AS (SELECT *, coalesce(lag(hexed) OVER o <> hexed OR e - {_W} > lag(e) OVER o, true) AS fresh FROM hit WINDOW o AS (PARTITION BY doc_id, s ORDER BY e)),
+isle AS (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id, s ORDER BY e) AS isle FROM cut),
 more AS (SELECT doc_id, CAST(s + min(e) - {_W} AS BIGINT) AS s, CASE WHEN hexed THEN 3 ELSE 4 END AS rank, CAST(s + max(e) AS BIGINT) AS e,
-                CASE WHEN hexed THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind
-         FROM ch WHERE h <= CASE WHEN hexed THEN {_limit('entropy_hex')} ELSE {_limit('entropy_base64')} END
-         GROUP BY doc_id, s, hexed, value),
+                CASE WHEN hexed THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind FROM isle GROUP BY doc_id, s, isle, hexed),
 spans AS (SELECT doc_id, s, rank, e, kind FROM found UNION ALL
           SELECT * FROM more a WHERE NOT EXISTS (SELECT 1 FROM found b WHERE b.doc_id = a.doc_id AND b.s <= a.s AND b.e >= a.e)),
 b AS (SELECT doc_id, {_JOIN} AS b, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
@@ -95,11 +88,15 @@ u AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total,
 t AS (SELECT *, max(CASE WHEN (total - full_) / open_ * weight <= most THEN (total - full_) / open_ END) OVER () AS level FROM u),
 g AS (SELECT source, source_size, least(most, weight * coalesce(level, 0)) AS target FROM t),
 q AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('{mixing.SEED}|' || doc_id || '|' || version), doc_id, version
-                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM d)
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM d),
+x AS (SELECT q.*, g.source_size, g.target, unnest(range({mixing.EPOCHS})) AS epoch FROM q JOIN g ON q.source IS NOT DISTINCT FROM g.source),
+f AS (SELECT *, (epoch * source_size + ahead + size) / CASE WHEN target > 0 THEN target END AS finish FROM x),
+s AS (SELECT *, CASE WHEN size > 0 AND finish IS NOT NULL THEN size ELSE 0 END AS due,
+             coalesce(sum(CASE WHEN size > 0 AND finish IS NOT NULL THEN size ELSE 0 END) OVER (ORDER BY finish NULLS LAST, source NULLS LAST, epoch,
+               ahead, doc_id, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM f)
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, floor(target + 0.5) - ahead)) + greatest(0, least(size, floor(target + 0.5) - source_size - ahead))
-            + greatest(0, least(size, floor(target + 0.5) - 2 * source_size - ahead)) AS BIGINT) AS taken
-FROM q JOIN g ON q.source IS NOT DISTINCT FROM g.source
+       CAST(sum(greatest(0, least(due, (SELECT sum(size) FROM d) - before))) AS BIGINT) AS taken
+FROM s GROUP BY doc_id, version, source, ahead, size, source_size, target
 """
 
 OP10 = """
