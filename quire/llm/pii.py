@@ -111,8 +111,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", support
     both = both.select("id", "base", F.regexp_extract_all("text", F.col("pattern"), F.lit(0)).alias("v"),
                        F.split("text", F.col("pattern"), -1).alias("g"))
     both = both.select("id", "base", S._located(F.col("g"), F.col("v"), kind, len(BASE)).alias("more"))
-    inside = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
-    more = F.filter("more", lambda s: ~inside(s))
+    more = S.untouched(F.col("more"), F.col("base"))
     return clean.unionByName(both.select("id", "base", F.array_sort(F.concat("base", more)).alias("spans")))
 
 

@@ -1,8 +1,9 @@
 """Secret scans with DataFrame functions: fixed patterns, and sliding-window entropy over candidate strings.
 
 Base spans come from three patterns. Beside them, every run of token characters is a candidate; a window slides over
-it, and the Shannon entropy of the window follows from counts that change by one character entering and one leaving
-per step. Each character class has its own threshold. Candidates on the allow list add nothing; base spans always stay."""
+it with the counts of its characters as state, and its Shannon entropy changes with the two counts that change per step. Each
+window is of the class of its own characters, and each class has its own threshold. A window on the allow list is suppressed;
+the other hits of a class that overlap or touch make a span. Base spans always stay."""
 
 from __future__ import annotations
 
@@ -22,88 +23,116 @@ BASE = [
 ]
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: entropy in bits that a window must reach, per character class (20 characters reach at most 4.32)
-CLASSES = {"entropy_hex": (r"^[0-9A-Fa-f]+$", 3.0), "entropy_base64": (r"^[A-Za-z0-9+/_=-]+$", 4.0)}
-#: strings that look random but are not secret
+ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"  # of candidates, hexadecimal digits first
+HEX_DIGITS = 22
+#: entropy in bits that a window must reach, per character class (20 characters reach at most 4.32); hexadecimal digits alone, or any
+CLASSES = {"entropy_hex": 3.0, "entropy_base64": 4.0}
+#: windows that look random but are not secret
 ALLOW = [
-    r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",  # identifiers
+    r"^[0-9A-Fa-f]*(?:-[0-9A-Fa-f]{4}){2,3}-?[0-9A-Fa-f]*$",  # within identifiers
     r"^[^A-Za-z]+$", r"^[^0-9]+$",  # numbers; words
     r"(?i)example|sample|dummy|placeholder|xxxx|changeme",
     r"(?i)0123456789|abcdefghij|qwertyuiop",
-    r"^[A-Za-z]+(?:[-_/=+][A-Za-z]+|[-_/=+][0-9]{1,4})++$",  # words and short numbers, joined
+    r"^[A-Za-z]*(?:[-_/=+]+[A-Za-z]+|[-_/=+]+[0-9]{1,4})+[-_/=+]*$",  # words and short numbers, joined
 ]
 BLOCK = 2048  # characters of a long candidate handled by one array
-_UNIT = 1 << 20  # entropies are compared in whole units, so they are the same on every engine
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, also where the body uses it in a lambda."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _window_hull(chars: Column, limit: Column, window: int) -> Column:
-    """(first, last): ends, from 1, of the first and last windows whose sum of c * log2(c) is at most ``limit``.
-
-    A window's entropy is log2(window) minus that sum over the window's length. Nulls if there is no such window."""
-    weight = F.array(*[F.lit(round(c * math.log2(c) * _UNIT) if c else 0) for c in range(window + 1)])
-    f = lambda c: F.element_at(weight, c + 1)
-    same = lambda part, x: F.size(F.filter(part, lambda y: y == x))
-
-    def change(x: Column, i: Column) -> Column:  # i from 0
-        before = F.slice(chars, F.greatest(F.lit(1), i - window + 2), F.least(i, F.lit(window - 1)))
-        enter = _let(same(before, x), lambda n: f(n + 1) - f(n))
-        gone = F.element_at(chars, F.greatest(F.lit(1), i - window + 1))
-        leave = _let(same(before, gone), lambda m: f(m + 1) - f(m))  # counts without the one that leaves
-        return enter - F.when(i >= window, leave).otherwise(0)
-
-    none = F.lit(None).cast("int")
-    state = F.struct(F.lit(0).alias("i"), F.lit(0).alias("s"), none.alias("first"), none.alias("last"))
-
-    def step(st: Column, d: Column) -> Column:
-        i, s = st["i"] + 1, st["s"] + d
-        hit = (i >= window) & (s <= limit)
-        return F.struct(i.alias("i"), s.alias("s"), F.when(hit & st["first"].isNull(), i).otherwise(st["first"]).alias("first"),
-                        F.when(hit, i).otherwise(st["last"]).alias("last"))
-
-    return F.aggregate(F.transform(chars, change), state, step,
-                       lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
+UNIT = 1 << 20  # entropies are compared in whole units, so they are the same on every engine
+_RUN = "struct<hex:boolean,first:int,last:int>"
+
+
+def unit_terms(window: int = WINDOW) -> list[int]:
+    """c * log2(c) in whole units, for counts c up to the window."""
+    return [round(c * math.log2(c) * UNIT) if c else 0 for c in range(window + 1)]
+
+
+def unit_limit(bits: float, window: int = WINDOW) -> int:
+    """The sum of ``unit_terms`` at which a window's entropy is ``bits``: log2(window) less that sum over the window."""
+    return int(window * (math.log2(window) - bits) * UNIT)
+
+
+def _hits(part: Column, window: int, allowed: str) -> Column:
+    """Runs (hex, first, last) of windows that hit, by the window's last character, from 1; windows of one run overlap or touch."""
+    codes = F.transform(F.split(F.substr(part, F.lit(1), F.char_length(part)), ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    terms = F.array(*[F.lit(t) for t in unit_terms(window)])
+    term = lambda n: F.get(terms, n)
+    limit_hex, limit_any = unit_limit(CLASSES["entropy_hex"], window), unit_limit(CLASSES["entropy_base64"], window)
+    zero = F.lit(0)
+    none = F.array().cast(f"array<{_RUN}>")
+    state = F.struct(zero.alias("i"), zero.alias("s"), zero.alias("wide"), F.array_repeat(zero, len(ALPHABET)).alias("counts"),
+                     F.lit(None).cast(_RUN).alias("run"), none.alias("runs"))
+
+    def slid(chars: Column) -> Column:
+        def step(st: Column, code: Column) -> Column:
+            i = st["i"] + 1
+            full = i > window
+            gone = F.when(full, F.get(chars, i - window - 1)).otherwise(-1)
+            c = F.get(st["counts"], code)
+            # the count that falls is read after the one that rises
+            d = F.when(full, F.get(st["counts"], gone) + F.when(gone == code, 1).otherwise(0))
+            s = st["s"] + term(c + 1) - term(c) + F.when(full, term(d - 1) - term(d)).otherwise(0)
+            wide = st["wide"] + F.when(code >= HEX_DIGITS, 1).otherwise(0) - F.when(gone >= HEX_DIGITS, 1).otherwise(0)
+            counts = F.transform(st["counts"], lambda n, j: n + F.when(j == code, 1).otherwise(0) - F.when(j == gone, 1).otherwise(0))
+            return let_state(st, i, s, wide, counts)
+
+        def let_state(st: Column, i: Column, s: Column, wide: Column, counts: Column) -> Column:
+            def moved(x: Column) -> Column:
+                hexed = x["wide"] == 0
+                high = (x["i"] >= window) & (x["s"] <= F.when(hexed, limit_hex).otherwise(limit_any))
+                hit = high & (~F.substr(part, x["i"] - window + 1, F.lit(window)).rlike(allowed) if allowed else F.lit(True))
+                run = st["run"]
+                goes_on = run.isNotNull() & (run["hex"] == hexed) & (x["i"] - window <= run["last"])
+                after = F.when(hit, F.struct(hexed.alias("hex"), F.when(goes_on, run["first"]).otherwise(x["i"]).alias("first"),
+                                             x["i"].alias("last"))).otherwise(run)
+                runs = F.when(hit & run.isNotNull() & ~goes_on, F.array_append(st["runs"], run)).otherwise(st["runs"])
+                return F.struct(x["i"].alias("i"), x["s"].alias("s"), x["wide"].alias("wide"), x["counts"].alias("counts"),
+                                after.alias("run"), runs.alias("runs"))
+
+            return S.let(F.struct(i.alias("i"), s.alias("s"), wide.alias("wide"), counts.alias("counts")), moved)
+
+        return F.aggregate(chars, state, step, lambda st: F.when(st["run"].isNotNull(), F.array_append(st["runs"], st["run"]))
+                           .otherwise(st["runs"]))
+
+    return S.let(F.slice(codes, F.lit(1), F.char_length(part)), slid)
+
+
+def _joined_runs(runs: Column, window: int) -> Column:
+    """Runs of consecutive blocks, those that overlap or touch made one."""
+    none = F.array().cast(f"array<{_RUN}>")
+    state = F.struct(F.lit(None).cast(_RUN).alias("run"), none.alias("out"))
+
+    def step(st: Column, x: Column) -> Column:
+        run = st["run"]
+        goes_on = run.isNotNull() & (run["hex"] == x["hex"]) & (x["first"] - window <= run["last"])
+        return F.struct(F.when(goes_on, F.struct(x["hex"].alias("hex"), run["first"].alias("first"), x["last"].alias("last")))
+                        .otherwise(x).alias("run"),
+                        F.when(run.isNotNull() & ~goes_on, F.array_append(st["out"], run)).otherwise(st["out"]).alias("out"))
+
+    return F.aggregate(runs, state, step, lambda st: F.when(st["run"].isNotNull(), F.array_append(st["out"], st["run"])).otherwise(st["out"]))
 
 
 def entropy_spans(df: DataFrame, text: str, out: str, window: int = WINDOW, allow: list[str] | None = None) -> DataFrame:
-    """Add ``out``: a span per candidate that holds a window of high entropy, from the first such window to the last.
-
-    A candidate is of the first class whose characters it is made of."""
+    """Add ``out``: a span per run of windows of high entropy in a candidate, from the start of the first window to the end of
+    the last, sorted by start, then kind."""
     cols = df.columns
     allowed = "|".join(f"(?:{p})" for p in (ALLOW if allow is None else allow))
-    found = S.find(df, [S.Kind("candidate", CANDIDATE, lambda m: ~m.rlike(allowed) if allowed else F.lit(True))], text, "_cand")
-    limits = {k: int(window * (math.log2(window) - bits) * _UNIT) for k, (_, bits) in CLASSES.items()}
-    (first, (pattern, _)), (second, _) = CLASSES.items()
-
-    def hull(value: Column) -> Column:
-        limit = F.when(value.rlike(pattern), limits[first]).otherwise(limits[second])
+    found = S.find(df, [S.Kind("candidate", CANDIDATE)], text, "_cand")
+    (first, _), (second, _) = CLASSES.items()
 
+    def runs(value: Column) -> Column:
         def block(at: Column) -> Column:
-            part = F.substr(value, at, F.lit(BLOCK + window - 1))
-            chars = F.slice(F.split(part, ""), F.lit(1), F.char_length(part))
-            hull = _let(chars, lambda c: _window_hull(c, limit, window))
-            return _let(hull, lambda h: F.struct((h["first"] + at - 1).alias("first"), (h["last"] + at - 1).alias("last")))
+            mine = S.let(F.substr(value, at, F.lit(BLOCK + window - 1)), lambda part: _hits(part, window, allowed))
+            return F.transform(mine, lambda r: F.struct(r["hex"].alias("hex"), (r["first"] + at - 1).alias("first"), (r["last"] + at - 1).alias("last")))
 
         starts = F.sequence(F.lit(1), F.char_length(value) - window + 1, F.lit(BLOCK))
-        return F.transform(starts, block)
-
-    marked = F.transform("_cand", lambda s: F.struct(s.alias("s"), hull(s["value"]).alias("h")))
-    found = found.select(*cols, marked.alias("_marked"))
+        return _joined_runs(F.flatten(F.transform(starts, block)), window)
 
-    def span(x: Column) -> Column:
-        s = x["s"]
-        a = F.array_min(F.transform(x["h"], lambda h: h["first"]))
-        b = F.array_max(F.transform(x["h"], lambda h: h["last"]))
-        hexed = s["value"].rlike(pattern)
-        return F.struct((s["start"] + a - window).alias("start"), F.when(hexed, len(BASE)).otherwise(len(BASE) + 1).alias("rank"),
-                        (s["start"] + b).alias("end"), F.when(hexed, first).otherwise(second).alias("kind"),
-                        F.substr(s["value"], a - window + 1, b - a + window).alias("value"))
+    def spans(s: Column) -> Column:
+        return F.transform(runs(s["value"]), lambda r: F.struct(
+            (s["start"] + r["first"] - window).alias("start"), F.when(r["hex"], len(BASE)).otherwise(len(BASE) + 1).alias("rank"),
+            (s["start"] + r["last"]).alias("end"), F.when(r["hex"], first).otherwise(second).alias("kind"),
+            F.substr(s["value"], r["first"] - window + 1, r["last"] - r["first"] + window).alias("value")))
 
-    return found.select(*cols, F.filter(F.transform("_marked", span), lambda s: s["start"].isNotNull()).alias(out))
+    return found.select(*cols, F.array_sort(F.flatten(F.transform("_cand", spans))).alias(out))
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", carry: list[str] = ()) -> DataFrame:
@@ -113,7 +142,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", carry:
     Null texts are empty: no spans. Rows are independent, so ids may be null or repeat. Empty table: no rows."""
     rows = docs.select(F.col(id_column).alias("id"), text_of(text).alias("text"), *carry)
     rows = entropy_spans(S.find(rows, BASE, "text", "base"), "text", "_more")
-    new = F.filter("_more", lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+    new = S.uncovered(F.col("_more"), F.col("base"))
     return rows.select("id", "text", *carry, "base", F.array_sort(F.concat("base", new)).alias("spans"))
 
 
