@@ -3,6 +3,8 @@ labels, keyword counts, per-class top keywords and word-cloud weights."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,20 +19,66 @@ def default_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+LEXICON_WORDS = 1 << 17  # different words of a lexicon that every executor holds as a table: some 10 MB
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also where the body uses it in a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _hash_table(lex: DataFrame, slots: int) -> Column:
+    """A constant: one array of ``slots`` lists of (word, _polarity), each word in the slot its hash names."""
+    held: list[list] = [[] for _ in range(slots)]
+    for r in lex.select(F.pmod(F.xxhash64("word"), F.lit(slots)).alias("slot"), "word", "_polarity").collect():
+        held[r["slot"]].append({"word": r["word"], "_polarity": r["_polarity"]})
+    # one text that Spark's optimiser turns into one constant
+    return F.from_json(F.lit(json.dumps(held)), "array<array<struct<word:string,_polarity:double>>>")
+
+
+def _mean_of(words: Column, table: Column, slots: int) -> Column:
+    """Mean polarity of the words found in the hash table; 0 if none is."""
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+
+    def looked_up(t: Column) -> Column:
+        def step(acc: Column, w: Column) -> Column:
+            found = F.filter(F.get(t, F.pmod(F.xxhash64(w), F.lit(slots)).cast("int")), lambda e: e["word"] == w)
+            return _let(found, lambda f: F.struct((acc["sum"] + F.coalesce(F.get(f, 0)["_polarity"], F.lit(0.0))).alias("sum"),
+                                                  (acc["n"] + F.size(f)).alias("n")))
+        return F.aggregate(words, start, step, lambda acc: F.when(acc["n"] > 0, acc["sum"] / acc["n"]).otherwise(0.0))
+
+    return _let(table, looked_up)
+
+
 def polarity(df: DataFrame, text: str, lexicon: DataFrame, out: str = "polarity",
-             keep_text: bool = True, tokens_out: str | None = None) -> DataFrame:
-    """Mean lexicon polarity of the words of ``text`` (0 when no word is known).
+             keep_text: bool = True, tokens_out: str | None = None, most_words: int = LEXICON_WORDS) -> DataFrame:
+    """Mean lexicon polarity of the words of ``text`` (0 when no word is known, or no text).
 
     ``lexicon`` has columns (word, polarity); repeated words are averaged.
-    Texts are normalised like :func:`quire.functions.scalar.tokens`.
-
-    One path for any lexicon: the rows are numbered and written once with
-    their words, the words are joined with the lexicon (Spark chooses how) and
-    averaged per row number. So rows are scored by themselves whatever keys they
-    have, and the texts are tokenized once. ``keep_text=False`` leaves the text
+    Texts are normalised like :func:`quire.functions.scalar.tokens`. ``keep_text=False`` leaves the text
     out of the result; ``tokens_out`` adds the word list under that name.
+
+    Once its size is checked, the lexicon becomes one hash table, a constant of the plan, and every row looks its
+    own words up: one pass over the texts, no shuffle and nothing written. A lexicon of over ``most_words`` different
+    words is joined with the words instead, with the same result.
     """
-    lex = lexicon.groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("_polarity"))
+    lex = lexicon.where(F.col("word").isNotNull()).groupBy("word").agg(F.avg(F.col("polarity").cast("double")).alias("_polarity")) \
+        .where(F.col("_polarity").isNotNull())
+    size = lex.count()
+    if size > most_words:
+        return _joined_polarity(df, text, lex, out, keep_text, tokens_out)
+    slots = 1 << max(4, (2 * size).bit_length())
+    words = tokens_out or "_tokens"
+    scored = df.withColumn(words, tokens(text))
+    if not keep_text:
+        scored = scored.drop(text)
+    mean = _mean_of(F.col(words), _hash_table(lex, slots), slots)
+    scored = scored.withColumn(out, F.coalesce(mean, F.lit(0.0)))
+    return scored if tokens_out else scored.drop(words)
+
+
+def _joined_polarity(df: DataFrame, text: str, lex: DataFrame, out: str, keep_text: bool, tokens_out: str | None) -> DataFrame:
+    """The rows are numbered and written once with their words; the words are joined with the lexicon and averaged per row."""
     numbered = df.withColumns({"_row": F.monotonically_increasing_id(), "_tokens": tokens(text)})
     rows = stage_table(numbered if keep_text else numbered.drop(text), "texts")
     words = rows.select("_row", F.explode("_tokens").alias("word"))

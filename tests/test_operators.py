@@ -313,9 +313,14 @@ def test_polarity_scores_rows_whatever_their_keys(spark):
     docs = spark.createDataFrame([(1, "good"), (1, "bad"), (None, "good bad bad"), (None, None)], "id long, text string")
     small = spark.createDataFrame([("good", 1.0), ("bad", -1.0)], "word string, polarity double")
     large = small.union(spark.range(300_000).selectExpr("concat('w', id)", "0.5D"))
-    for lex in (small, large):
-        got = sorted((r["text"] or "", r["polarity"]) for r in text.polarity(docs, "text", lex).collect())
-        assert got == [("", 0.0), ("bad", -1.0), ("good", 1.0), ("good bad bad", -1 / 3)]
+    odd = small.union(spark.createDataFrame([(None, 1.0), ("bad", -1.0), ("unknown", None)], small.schema))
+    for lex in (small, large, odd):
+        for most in (0, 1 << 20):  # joined, or looked up
+            got = sorted((r["text"] or "", r["polarity"]) for r in text.polarity(docs, "text", lex, most_words=most).collect())
+            assert got == [("", 0.0), ("bad", -1.0), ("good", 1.0), ("good bad bad", -1 / 3)]
+    out = text.polarity(docs, "text", small, keep_text=False, tokens_out="w")
+    assert out.columns == ["id", "w", "polarity"]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
 
 
 def test_null_groups_and_keys_are_kept(spark):
