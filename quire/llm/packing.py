@@ -21,7 +21,7 @@ from quire.llm.common import segments, staged, text_of
 CAPACITY = 2048
 END_ID = 0
 RANK_ROWS = 4096  # rows ranked by one window group
-CACHED_WORDS = 400_000  # per Python worker
+CACHED_WORDS = 500_000  # per Python worker
 
 # Letters whose lower case and composed form are character by character, then plain punctuation: the tokenizer
 # splits such a chunk into exactly these two parts.
@@ -29,34 +29,28 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 class _Words(dict):
-    """Ids (little-endian unsigned 32-bit) of a white-space separated chunk, computed once per worker."""
+    """Ids (little-endian unsigned 32-bit) of a white-space separated chunk, computed once per worker.
+
+    A chunk of a word and points is put together from the entries of both, so plain words are held once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cores: dict[str, bytes] = {}
-
-    def core(self, word: str) -> bytes:
-        ids = self.cores.get(word)
-        if ids is None:
-            mapped = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
-            ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            if len(self.cores) >= CACHED_WORDS:
-                self.cores.clear()
-            self.cores[word] = ids
-        return ids
 
     def __missing__(self, chunk: bytes) -> bytes:
-        word = chunk.decode("utf-8", "replace")
-        simple = _SIMPLE.fullmatch(word)
-        if simple:
-            ids = self.core(simple[1].lower())
-            if simple[2]:
-                ids += self.core(simple[2])
+        text = chunk.decode("utf-8", "replace")
+        simple = _SIMPLE.fullmatch(text)
+        if not simple:
+            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            word = simple[1].lower()
+            if word == text:
+                mapped = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
+                ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            else:
+                ids = self[word.encode()] + (self[simple[2].encode()] if simple[2] else b"")
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[chunk] = ids
