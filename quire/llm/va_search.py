@@ -21,7 +21,8 @@ SCALE = 1024
 BITS = 6
 BLOCK = 1024  # queries scanned together
 FIRST_READ = 4  # exact vectors read at first, as a multiple of k + 1
-LIMIT = 1 << 28  # of a scaled component, so that scores fit a long
+LIMIT = 1 << 57  # of a scaled component, so that a sum of thousands of products fits decimal(38)
+LONG = (1 << 63) - 1
 
 
 def quantise(vector: Column, scale: int = SCALE) -> Column:
@@ -43,24 +44,29 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
     """(query_id, rank, id, score): for every id where ``is_query`` holds, its ``k`` highest integer inner products
     among all other ids, ties to the smaller id; all others, if fewer.
 
-    Vectors that are null, or hold a null or non-finite component, and rows with a null id take no part. A
-    repeated id counts once, with its smallest vector. Missing components of shorter vectors are 0; scaled components are
-    held to +-2**28. Empty table: no rows."""
+    Vectors that are null, or hold a null or non-finite component, and rows with a null id take no part. Every
+    row is a candidate, so an id that is repeated can be found as often as it is there, also by its own other rows; rows that
+    ask and are equal in id and vector share one list, those of one id with different vectors have one each. Missing components of
+    shorter vectors are 0. Scaled components are held to +-2**57; scores are compared exactly and, where beyond a long, returned
+    as its nearest value. Empty table: no rows."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), quantise(F.col(vector), scale).alias("v"),
                           is_query.alias("asks")).where("id IS NOT NULL AND v IS NOT NULL")
-    rows = staged(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "va-rows")
-    queries = rows.where("asks").select(F.col("id").alias("query_id"), F.col("v").alias("q"))
+    rows = staged(rows.groupBy("id", "v").agg(F.count("*").alias("n"), F.max("asks").alias("asks")), "va-rows")
+    queries = staged(rows.where("asks").select(F.monotonically_increasing_id().alias("query"), F.col("id").alias("query_id"),
+                                               F.col("v").alias("q")), "va-queries")
     # equal vectors are one candidate with its k + 1 smallest ids: more can never be asked for
     least = rows.withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("nth") <= k + 1)
-    exact = staged(least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-                   .select(F.col("ids")[0].alias("cid"), "ids", "v"), "va-exact")
+    exact = staged(least.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("ids"))
+                   .select(F.monotonically_increasing_id().alias("cid"), "ids", "v"), "va-exact")
     spread = exact.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     spread = sorted(spread.collect())  # one row per component
     dims = len(spread)
     low = np.minimum(0, np.array([r["a"] for r in spread], float))
     high = np.maximum(0, np.array([r["b"] for r in spread], float))
     edges = _bounds(low, high, bits)
+    fits = sum(max(-r["a"], r["b"]) ** 2 for r in spread) <= LONG  # no sum of products can pass a long
+    kind = "long" if fits else "decimal(38,0)"
     if bits > 8:
         raise ValueError("a cell number must fit a byte")
 
@@ -68,7 +74,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
         for batch in batches:
             codes = np.empty((batch.num_rows, dims), np.uint8)
             for i, v in enumerate(_matrix(batch.column("v"), dims).T):
-                codes[:, i] = np.searchsorted(edges[i], v, side="right") - 1
+                # edges beyond 2**53 are rounded; what that moves is far below the slack of the bounds
+                codes[:, i] = np.clip(np.searchsorted(edges[i], v, side="right") - 1, 0, edges.shape[1] - 2)
             yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array([c.tobytes() for c in codes], pa.binary())],
                                              names=["cid", "cells"])
 
@@ -76,40 +83,48 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
     path = scratch_path(spark, "va-candidates")
     last, found = -(1 << 63), False
     while dims:  # one pass over the approximation file per block of queries, so the driver holds one block
-        part = queries.where(F.col("query_id") > last).orderBy("query_id").limit(block).collect()
+        part = queries.where(F.col("query") > last).orderBy("query").limit(block).collect()
         if not part:
             break
         asked = np.zeros((len(part), dims))
         for i, r in enumerate(part):
             asked[i, :len(r["q"])] = r["q"]
-        ids = np.array([r["query_id"] for r in part])
-        cells.mapInArrow(_scan(ids, asked, edges, k), "query_id long, cid long, ub double, lb double") \
+        ids = np.array([r["query"] for r in part])
+        cells.mapInArrow(_scan(ids, asked, edges, k), "query long, cid long, ub double, lb double") \
             .write.mode("append").parquet(path)
         last, found = int(ids[-1]), True
-    schema = "query_id long, cid long, ub double, lb double"
+    schema = "query long, cid long, ub double, lb double"
     candidates = spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)
-    by_low = Window.partitionBy("query_id").orderBy(F.col("lb").desc())
+    by_low = Window.partitionBy("query").orderBy(F.col("lb").desc())
     floor = candidates.withColumn("nth", F.row_number().over(by_low)).where(F.col("nth") == k + 1) \
-        .select("query_id", F.col("lb").alias("floor"))
-    live = candidates.join(floor, "query_id", "left").where("floor IS NULL OR ub >= floor")
-    order = Window.partitionBy("query_id").orderBy(F.col("ub").desc(), "cid")
-    live = staged(live.select("query_id", "cid", "ub", F.row_number().over(order).alias("nth")), "va-order")
+        .select("query", F.col("lb").alias("floor"))
+    live = candidates.join(floor, "query", "left").where("floor IS NULL OR ub >= floor")
+    order = Window.partitionBy("query").orderBy(F.col("ub").desc(), "cid")
+    live = staged(live.select("query", "cid", "ub", F.row_number().over(order).alias("nth")), "va-order")
 
     def scored(part: DataFrame) -> DataFrame:
-        product = F.aggregate(F.zip_with("v", "q", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))),
-                              F.lit(0).cast("long"), lambda acc, x: acc + x)
-        return part.join(exact, "cid").join(queries, "query_id") \
-            .select("query_id", product.alias("score"), F.explode("ids").alias("id")).where("id != query_id")
-
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+        zero = F.lit(0).cast(kind)
+        product = F.aggregate(F.zip_with("v", "q", lambda a, b: F.coalesce((a.cast(kind) * b.cast(kind)).cast(kind), zero)), zero,
+                              lambda acc, x: (acc + x).cast(kind))
+        own = (F.col("found.id") == F.col("query_id")) & (F.col("v") == F.col("q"))
+        times = F.least(F.col("found.n") - own.cast("long"), F.lit(k).cast("long"))
+        return part.join(exact, "cid").join(queries, "query") \
+            .select("query", "query_id", "q", "v", product.alias("score"), F.explode("ids").alias("found")) \
+            .select("query", "query_id", "score", F.col("found.id").alias("id"), times.alias("times")).where("times > 0") \
+            .select("query", "query_id", "score", "id", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))) \
+            .drop("col")
+
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
     first = FIRST_READ * (k + 1)
     early = staged(scored(live.where(F.col("nth") <= first)).withColumn("rank", F.row_number().over(best))
                    .where(F.col("rank") <= k), "va-early")
     # certain once the next bound is below the k-th score; only what still could reach it is read
-    certain = early.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    rest = live.where(F.col("nth") > first).join(certain, "query_id", "left").where("kth IS NULL OR ub >= kth")
-    return early.drop("rank").unionByName(scored(rest.select("query_id", "cid"))) \
-        .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    certain = early.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
+    rest = live.where(F.col("nth") > first).join(certain, "query", "left").where("kth IS NULL OR ub >= kth")
+    score = F.greatest(F.lit(-LONG).cast(kind), F.least(F.lit(LONG).cast(kind), F.col("score"))).cast("long")
+    return early.drop("rank").unionByName(scored(rest.select("query", "cid"))) \
+        .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "id", score.alias("score"))
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
@@ -153,7 +168,7 @@ def _scan(ids: np.ndarray, asked: np.ndarray, edges: np.ndarray, k: int):
             for at in range(0, len(q), 100_000):
                 s = slice(at, at + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q[s]]), pa.array(cid[s]), pa.array(ub[s]), pa.array(lb[s])],
-                                                 names=["query_id", "cid", "ub", "lb"])
+                                                 names=["query", "cid", "ub", "lb"])
     return scan
 
 

@@ -3,8 +3,10 @@ and on empty tables."""
 
 import base64
 import hashlib
+import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -341,15 +343,31 @@ def test_search_equals_brute_force(spark):
     bad = [(1000, None, 0), (1001, [float("nan")] * 8, 0), (1002, [None] * 8, 0), (None, [1.0] * 8, 0), (600, [], 0), rows[7]]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, cid int")
     got = va_search.top_k(df, F.col("vec_id") % 100 == 0, block=4).collect()
-    rows.append((600, [0.0] * 8, 0))
+    rows += [(600, [0.0] * 8, 0), rows[7]]  # the repeated row is a candidate of its own
     m = np.array([[int(np.floor(1024 * x)) for x in v] for _, v, _ in rows])
     want = set()
     for q in range(0, 601, 100):
-        best = sorted((-int(s), i) for i, s in enumerate(m @ m[q]) if i != q)[:10]
+        best = sorted((-int(s), rows[i][0]) for i, s in enumerate(m @ m[q]) if i != q)[:10]
         want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
     assert {tuple(r) for r in got} == want and va_search.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_search_takes_every_row_of_a_repeated_id_and_large_components(spark):
+    rng = random.Random(3)
+    rows = [(i // 3 if i % 2 else i, [float(rng.randint(-3, 3)) for _ in range(3)]) for i in range(120)]
+    rows += [(0, rows[0][1])] * 2 + [rows[5]] * 14 + [(77, [2.0 ** 40, -(2.0 ** 44), 1.0]), (78, [1e30, 0.0, 0.0]), (100, [2.0 ** 41, 3.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(tuple(r) for r in va_search.top_k(df, F.col("vec_id") % 20 == 0, block=3).collect())
+    whole = [(i, tuple(max(-2 ** 57, min(2 ** 57, int(np.floor(1024 * x)))) for x in v)) for i, v in rows]
+    want, top = Counter(), 2 ** 63 - 1
+    for q in {r for r in whole if r[0] % 20 == 0}:
+        left = list(whole)
+        left.remove(q)
+        best = sorted((-sum(a * b for a, b in zip(v, q[1])), i) for i, v in left)[:10]
+        want.update((q[0], n + 1, i, max(-top, min(top, -s))) for n, (s, i) in enumerate(best))
+    assert got == want
+
+
 def test_toxicity_learns_and_survives_bad_labels(spark):
     text = lambda i: ("you utter moron scum, " if i % 4 == 0 else "a fine day ") + f"said {i} of them"
     docs = spark.createDataFrame([(i, text(i)) for i in range(400)] + [(None, None), (900, "")], "doc_id long, text string")
