@@ -13,10 +13,9 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import staged, text_of
@@ -114,28 +113,25 @@ class ToxicityModel:
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
 
-    def _features(self, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+    def _features(self, text: Column) -> Column:
+        """The vector of ``FEATURES``. Only the text goes to Python; the other columns of its row wait in the JVM."""
         words, stems = self.words, self.stems
-        rows = docs.select(*keys, text_of(text).alias("_text"))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
 
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for batch in batches:
-                values = [features(t.as_py(), words, stems) for t in batch.column("_text")]
-                yield pa.RecordBatch.from_arrays([batch.column(k) for k in keys] + [
-                    pa.array(c, pa.float64()) for c in zip(*values)] if values else
-                    [batch.column(k) for k in keys] + [pa.array([], pa.float64()) for _ in FEATURES], names=keys + FEATURES)
+                yield pa.array([features(t.as_py(), words, stems) for t in batch], pa.list_(pa.float64()))
 
-        return rows.mapInArrow(scan, schema + "".join(f", `{c}` double" for c in FEATURES))
+        # said to be nondeterministic, so that no rule evaluates it again in a filter
+        scan = F.arrow_udf(scan, "array<double>", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+        return array_to_vector(scan(F.coalesce(text.cast("string"), F.lit(""))))
 
     def score(self, docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         """The columns ``keys`` of every row, and its ``score`` from 0 to 1. Null texts score as empty ones."""
         if self.trees is None:
             return docs.select(*keys, F.lit(float(self.base)).alias("score"))
         named = [f"k{i}" for i in range(len(keys))]
-        rows = self._features(docs.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.col(text).alias("text")),
-                              named, "text")
-        out = _margin(self.trees, VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
+        rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], self._features(F.col(text)).alias("features"))
+        out = _margin(self.trees, rows)
         if self.calibration is not None:
             out = self.calibration.transform(out)
         else:
@@ -193,8 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     if not 0 < y < n:
         return model
     model.words, model.stems = learn_lexicon(train, "text", "y", y, n - y)
-    rows = staged(model._features(train, ["id", "y"], "text"), "toxicity-features")
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    rows = staged(train.select("id", "y", model._features(F.col("text")).alias("features")), "toxicity-features")
     held = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(4)) == 0
     rest = rows.where(~held).coalesce(2)
     if rest.select("y").distinct().count() < 2:
