@@ -21,7 +21,8 @@ from quire.llm.common import segments, staged, text_of
 CAPACITY = 2048
 END_ID = 0
 RANK_ROWS = 4096  # rows ranked by one window group
-CACHED_WORDS = 160_000  # per generation; a Python worker holds two
+CACHED_WORDS = 250_000  # per generation; a Python worker holds two
+CACHED_JOINS = 100_000  # chunks put together from words, cheap to make again
 
 # Letters whose lower case and composed form are character by character, then plain punctuation: the tokenizer
 # splits such a chunk into exactly these two parts.
@@ -31,40 +32,43 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 class _Words(dict):
     """Ids (little-endian unsigned 32-bit) of a white-space separated chunk, kept while it is in use.
 
-    A chunk of a word and points is put together from the entries of both, so plain words are held once. A full
-    table becomes the older generation and an empty one takes over; chunks met again move up, the others go with it."""
+    A chunk of a word and points, or with capitals, is put together from its parts and kept in a small table of its own. A full
+    table of words becomes the older generation and an empty one takes over; words met again move up, the others go with it."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.older: dict[bytes, bytes] = {}
+        self.joined: dict[bytes, bytes] = {}
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.joined.get(chunk)
+        if ids is not None:
+            return ids
         ids = self.older.get(chunk)
         if ids is None:
-            ids = self._encode(chunk)
+            text = chunk.decode("utf-8", "replace")
+            simple = _SIMPLE.fullmatch(text)
+            if not simple:
+                ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                word = simple[1].lower()
+                if word != text:
+                    ids = self[word.encode()] + (self[simple[2].encode()] if simple[2] else b"")
+                    if len(self.joined) >= CACHED_JOINS:
+                        self.joined.clear()
+                    self.joined[chunk] = ids
+                    return ids
+                mapped = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
+                ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
 
-    def _encode(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "replace")
-        simple = _SIMPLE.fullmatch(text)
-        if not simple:
-            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            word = simple[1].lower()
-            if word == text:
-                mapped = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
-                ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            else:
-                ids = self[word.encode()] + (self[simple[2].encode()] if simple[2] else b"")
-        return ids
-
 
 _words: dict[str, _Words] = {}
 
