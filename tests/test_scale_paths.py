@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from quire.ml import cluster, inner_product, recommend
 from quire.operators import clean, distribution, profile, quantile, stats
-from quire.sources import quoted, read_csv
+from __spark_entry__ import queries
+from quire.plans import models
+from quire.sources import fixtures as fx, quoted, read_csv
 
 
 # --- CSV -----------------------------------------------------------------------------------------
@@ -215,3 +217,41 @@ def test_row_hashes_follow_distinct(spark):
     df = spark.createDataFrame(rows, "x string, y string, v double")
     one = clean.dedupe_report(df).first()
     assert (one["rows_before"], one["rows_after"]) == (7, df.distinct().count())
+
+
+# --- ratings ---------------------------------------------------------------------------------------
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Small tables with repeated and null item keys, null customers and lines without an order."""
+    rnd = random.Random(5)
+    lines = [(o, n, rnd.choice([None, *range(30)]), float(n)) for o in range(80) for n in range(1, 4)]
+    orders = [(o, rnd.choice([None, *range(12)])) for o in range(70)]
+    parts = [(p, f"title {p}", "b", "t", p) for p in [*range(25), 3, 3, 7, None, None]]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").withColumn("o_orderdate", F.current_timestamp()) \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_ratings_read_the_joined_rows_from_one_copy(spark, star):
+    merged, rated = fx.merged_fx(spark, star), fx.rated_fx(spark, star)
+    cols = ["review_id", "user_id", "item_id", "score"]
+    assert sorted(map(str, rated.collect())) == sorted(map(str, merged.select(*cols).collect()))
+    assert rated.count() > fx.reviews_fx(spark, star).count()
+    r = queries()["ratings_matrix"](spark, star)
+    assert not [f for f in r.inputFiles() if "lineitem" in f or "orders" in f]
+    want = merged.where("user_id is not null and item_id is not null and score is not null")
+    assert r.count() == want.count()
+    number = lambda c: {x[0]: i for i, x in enumerate(merged.where(f"{c} is not null").groupBy(c).count().orderBy(F.desc("count"), c).collect())}
+    users, items = number("user_id"), number("item_id")
+    assert sorted((x.user_index, x.item_index, x.rating, x.review_id) for x in r.collect()) == \
+        sorted((users[x.user_id], items[x.item_id], x.score, x.review_id) for x in want.collect())
+
+
+def test_als_rows_are_written_once(spark, star):
+    train, test, _, _ = models._als_split(spark, star)
+    assert all("quire-ratings" in f for part in (train, test) for f in part.inputFiles())
+    assert dict(train.dtypes)["user_index"] == "double"
+    assert train.count() + test.count() == queries()["ratings_matrix"](spark, star).count()
