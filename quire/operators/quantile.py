@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.layout import pin
+from quire.operators.layout import pin, stage_table
 from quire.operators.ranking import _partitions
 
 
@@ -59,7 +59,9 @@ def _inside_brackets(base: DataFrame, probs: list[float], by: list[str]) -> Data
     cuts = {f"_{name}{i}": edge(p, sign) for i, p in enumerate(probs) for name, sign in (("lo", -1), ("hi", 1))}
     brackets = summary.select(*by, *[c.alias(name) for name, c in cuts.items()])
     if by:
-        rows = null_safe_join(base, brackets, by)  # one row per group on the right
+        # one row per group on the right, written: few groups are then known to be few, and the rows stay where they are, instead
+        # of one task sorting all rows of a group
+        rows = null_safe_join(base, stage_table(brackets, "brackets"), by)
     else:
         one = brackets.first()  # one row; enters the plan as literals
         rows = base.select("_v", *[F.lit(one[name]).alias(name) for name in cuts])
