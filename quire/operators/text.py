@@ -143,6 +143,20 @@ def pair_counts(df: DataFrame, text: str, stopwords: list[str], by: list[str] |
     return pairs.groupBy(*by, "first", "second").agg(F.count(F.lit(1)).alias("count"))
 
 
+def _words_and_pairs(df: DataFrame, text: str, stopwords: list[str], by: list[str], tokens_col: str | None) -> tuple[DataFrame, DataFrame]:
+    """:func:`keyword_counts` and :func:`pair_counts` from one pass over the texts: every word is counted with the word after it,
+    null if there is none or it is a stop word; the words' counts are sums of these. The counts are written once."""
+    words = df.select(*by, (F.col(tokens_col) if tokens_col else tokens(text)).alias("_w"))
+    n = F.greatest(F.size("_w") - 1, F.lit(0))
+    rows = words.select(*by, F.inline(F.arrays_zip(F.col("_w").alias("first"), F.slice("_w", F.lit(2), n).alias("second"))))
+    if stopwords:
+        stop = sorted(set(stopwords))
+        rows = rows.where(~F.col("first").isin(*stop)).withColumn("second", F.when(~F.col("second").isin(*stop), F.col("second")))
+    counts = stage_table(rows.groupBy(*by, "first", "second").agg(F.count(F.lit(1)).alias("count")), "pairs")
+    single = counts.groupBy(*by, F.col("first").alias("word")).agg(F.sum("count").alias("count"))
+    return single, counts.where("first is not null and second is not null")
+
+
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
     floor = F.lit(1e-10)
     return F.log(F.greatest(x, floor)) * k + F.log(F.greatest(1 - x, floor)) * (n - k)
@@ -176,8 +190,7 @@ def term_weights(df: DataFrame, text: str, stopwords: list[str], k: int = 200, b
     by = list(by or [])
     counts = keyword_counts(df, text, stopwords, by, tokens_col)
     if bigrams:
-        counts = stage_table(counts, "words")
-        counts = with_pairs(counts, pair_counts(df, text, stopwords, by, tokens_col), by, threshold)
+        counts = with_pairs(*_words_and_pairs(df, text, stopwords, by, tokens_col), by, threshold)
     top = top_k_per_group(counts, by, [F.col("count").desc()], k, key=["word"])
     peak = F.max("count").over(Window.partitionBy(*by))  # over at most k rows per group
     return top.withColumn("weight", F.col("count") / peak)

@@ -12,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from quire.ml import cluster, inner_product, recommend
-from quire.operators import clean, distribution, profile, quantile, stats
+from quire.operators import clean, distribution, profile, quantile, stats, text
 from __spark_entry__ import queries
 from quire.plans import models
 from quire.sources import fixtures as fx, quoted, read_csv
@@ -255,3 +255,49 @@ def test_als_rows_are_written_once(spark, star):
     assert all("quire-ratings" in f for part in (train, test) for f in part.inputFiles())
     assert dict(train.dtypes)["user_index"] == "double"
     assert train.count() + test.count() == queries()["ratings_matrix"](spark, star).count()
+
+
+@pytest.mark.parametrize("each", [(7, 11), (1000, 1000)])
+def test_all_pairs_in_bounded_groups(spark, each):
+    rng = np.random.default_rng(3)
+    users, items = rng.uniform(0, 1, (40, 3)), rng.uniform(0, 1, (30, 3))
+    items[5] = items[9]
+    table = lambda m: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, features array<float>")
+    got = {(r.user, r["rank"]): r.score for r in inner_product.all_pairs(table(users), table(items), 5, *each).collect()}
+    want = np.sort(users @ items.T, axis=1)[:, ::-1][:, :5]
+    assert len(got) == 200 and all(abs(got[i, j + 1] - want[i, j]) < 1e-5 for i in range(40) for j in range(5))
+    assert inner_product.all_pairs(table(users).limit(0), table(items), 5).count() == 0
+
+
+def test_recommend_for_all_forms_no_cross_join(spark):
+    train = spark.createDataFrame([(float(u), float(i), float((u * i) % 5 + 1)) for u in range(9) for i in range(8)],
+                                  "user_index double, item_index double, rating double")
+    model = recommend.als(train, rank=3, max_iter=2, seed=1)
+    names = lambda c: train.select(c).distinct().withColumn(c[:4] + "_id", F.col(c).cast("long"))
+    lists = []
+    for every_pair in (False, True):
+        df = recommend.recommend_for_all(model, 4, names("user_index"), names("item_index"), "user_id", "item_id", every_pair=every_pair)
+        assert "CartesianProduct" not in df._jdf.queryExecution().toString() and "Join Cross" not in df._jdf.queryExecution().toString()
+        assert dict(df.dtypes)["score"] == "float"
+        lists.append({(r.user_id, r["rank"]): round(r.score, 4) for r in df.collect()})
+    assert lists[0].keys() == lists[1].keys() and len(lists[0]) == 36
+    assert all(abs(lists[0][x] - lists[1][x]) < 2e-4 for x in lists[0])
+
+
+# --- grouped quantiles, words and pairs ------------------------------------------------------------
+
+def test_brackets_do_not_move_the_rows(spark, monkeypatch):
+    base = spark.range(4000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("_v"))
+    plan = quantile._inside_brackets(base, [0.25, 0.5], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_words_and_pairs_in_one_pass(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["x", "y", None]), w) for w in [None, [], ["a"], ["the"]] + [[rnd.choice("abc") if rnd.random() < 0.8 else "the" for _ in range(9)] for _ in range(60)]]
+    df = spark.createDataFrame(rows, "label string, words array<string>")
+    for stop in (["the"], []):
+        single, pairs = text._words_and_pairs(df, "", stop, ["label"], "words")
+        assert len(single.inputFiles()) and all("quire-pairs" in f for f in single.inputFiles() + pairs.inputFiles())
+        for got, want in ((single, text.keyword_counts(df, "", stop, ["label"], "words")), (pairs, text.pair_counts(df, "", stop, ["label"], "words"))):
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
