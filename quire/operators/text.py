@@ -74,7 +74,9 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame, out: str = "polarity"
         scored = scored.drop(text)
     mean = _mean_of(F.col(words), _hash_table(lex, slots), slots)
     scored = scored.withColumn(out, F.coalesce(mean, F.lit(0.0)))
-    return scored if tokens_out else scored.drop(words)
+    if tokens_out:  # last, as in the joined form
+        return scored.select(*[c for c in scored.columns if c != words], words)
+    return scored.drop(words)
 
 
 def _joined_polarity(df: DataFrame, text: str, lex: DataFrame, out: str, keep_text: bool, tokens_out: str | None) -> DataFrame:
