@@ -93,27 +93,34 @@ def books_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_view
 def merged_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left join of reviews to items plus the safe casts of score and ratings count."""
-    r = reviews_fx(spark, sf_dir)
-    b = books_fx(spark, sf_dir).select("item_id", "title", "authors", "categories", "ratings_raw")
-    m = r.join(b, "item_id", "left")
-    return m.select(
+    return merged_with(spark, sf_dir, reviews_fx(spark, sf_dir)).select(
         "review_id", "user_id", "item_id", "score_raw", "review_time", "review_ts", "review_length",
-        "title", "authors", "categories",
-        F.col("score_raw").try_cast("double").alias("score"),
-        F.col("ratings_raw").try_cast("int").cast("double").alias("ratings_count"),
-    )
+        "title", "authors", "categories", "score", "ratings_count")
+
+
+def merged_with(spark: SparkSession, sf_dir: str, reviews: DataFrame) -> DataFrame:
+    """The merge for ``reviews`` that hold item_id, score_raw and any other columns."""
+    b = books_fx(spark, sf_dir).select("item_id", "title", "authors", "categories", "ratings_raw")
+    m = reviews.join(b, "item_id", "left")
+    return m.withColumns({"score": F.col("score_raw").try_cast("double"),
+                          "ratings_count": F.col("ratings_raw").try_cast("int").cast("double")}).drop("ratings_raw")
 
 
 @_view
 def rated_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of merged_fx as (review_id, user_id, item_id, score). A left join changes these only by items that the item
+    """The rows of merged_fx as (review_id, user_id, item_id, score)."""
+    return rated_with(spark, sf_dir, reviews_fx(spark, sf_dir), ["review_id"])
+
+
+def rated_with(spark: SparkSession, sf_dir: str, reviews: DataFrame, keep: list[str]) -> DataFrame:
+    """The rows of the merge as (keep..., user_id, item_id, score). A left join changes these only by items that the item
     table lists more than once; those ids are counted and written first, so that a few of them reach the reviews without a shuffle."""
     times = read_table(spark, sf_dir, "part", ["p_partkey"]).groupBy(F.col("p_partkey").alias("item_id")).agg(F.count(F.lit(1)).alias("times"))
     again = stage_table(times.where("item_id is not null and times > 1"), "repeated-items")
-    r = reviews_fx(spark, sf_dir).select("review_id", "user_id", "item_id", F.col("score_raw").try_cast("double").alias("score"))
+    r = reviews.select(*keep, "user_id", "item_id", F.col("score_raw").try_cast("double").alias("score"))
     m = r.join(again, "item_id", "left")
     copies = F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1))))
-    return m.select("review_id", "user_id", "item_id", "score", copies.alias("_copy")).drop("_copy")
+    return m.select(*keep, "user_id", "item_id", "score", copies.alias("_copy")).drop("_copy")
 
 
 @_view

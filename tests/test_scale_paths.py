@@ -12,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from quire.ml import cluster, inner_product, recommend
-from quire.operators import clean, distribution, profile, quantile, stats, text
+from quire.operators import clean, distribution, profile, quantile, sampling, stats, text
 from __spark_entry__ import queries
 from quire.plans import models
 from quire.sources import fixtures as fx, quoted, read_csv
@@ -257,6 +257,59 @@ def test_als_rows_are_written_once(spark, star):
     assert train.count() + test.count() == queries()["ratings_matrix"](spark, star).count()
 
 
+def _reads(df, table):
+    return [f for f in df.inputFiles() if table in f]
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_regression_rows_are_written_once(spark, star, shared):
+    """Spark ML reads the train rows several times; each reading would join reviews and items again."""
+    train, test = models._reg_split(spark, star, models._shared_reviews(spark, star) if shared else None)
+    assert not _reads(train, "lineitem") + _reads(test, "lineitem") + _reads(train, "part.parquet")
+    whole = fx.merged_fx(spark, star).where("review_id is not null and score is not null and ratings_count is not null and review_length is not null")
+    cols = ["score", *models.REG_FEATURES]
+    for got, want in zip((train, test), sampling.split(whole, [0.8, 0.2], models.TRAIN_SEED, key="review_id")):
+        assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect())) != []
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_als_rows_carry_their_side_not_their_id(spark, star, shared):
+    parts = models._als_split(spark, star, models._shared_reviews(spark, star) if shared else None)[:2]
+    with_id = models._als_split(spark, star, keep=["review_id"])[:2]
+    cols = ["user_index", "item_index", "rating"]
+    rows = sampling.split(queries()["ratings_matrix"](spark, star), [0.8, 0.2], models.TRAIN_SEED, key="review_id")
+    for part, again, want in zip(parts, with_id, rows):
+        assert part.columns == cols and "review_id" in again.columns
+        assert sorted(map(str, part.collect())) == sorted(map(str, want.select(*cols).collect())) != []
+        assert sorted(map(str, again.select("review_id", *cols).collect())) == sorted(map(str, want.select("review_id", *cols).collect()))
+
+
+def test_reviews_without_an_id_are_on_no_side(spark, star, monkeypatch):
+    odd = fx.reviews_fx(spark, star).withColumn("review_id", F.when(F.col("review_id") % 3 > 0, F.col("review_id")))
+    monkeypatch.setattr(models.fx, "reviews_fx", lambda *_: odd)
+    train, test, _, _ = models._als_split(spark, star)
+    want = fx.rated_with(spark, star, odd, ["review_id"]).na.drop().count()
+    assert train.count() + test.count() == want > 0
+
+
+def test_optimality_groups_by_the_key_of_its_join(spark):
+    """A sum per user, and its join with the users' factors, move no row again after the arrays have gone to the users."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(held, ("false", "-1")):
+        spark.conf.set(k, v)
+    try:
+        train = spark.createDataFrame([(float(u), float(i), float((u * i) % 5 + 1)) for u in range(9) for i in range(8)],
+                                      "user_index double, item_index double, rating double")
+        model = recommend.als(train, rank=3, max_iter=2, seed=1)
+        df = recommend.optimality(model, train)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 5  # rows by item, items, rows by user, users twice
+        assert dict(df.dtypes)["user_index"] == "double" and df.count() == 9
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("each", [(7, 11), (1000, 1000)])
 def test_all_pairs_in_bounded_groups(spark, each):
     rng = np.random.default_rng(3)
