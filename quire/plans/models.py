@@ -347,9 +347,10 @@ def cold_start_pairs(spark, sf):
 def model_metrics(spark, sf):
     """Evaluation results of the three supervised models as (model, metric, value) rows."""
     from quire.operators import report
-    reg = regression_rmse_r2(spark, sf).first()
+    reviews = _shared_reviews(spark, sf)
+    reg = _regression_error(spark, sf, reviews).first()
     acc = sentiment_model_accuracy(spark, sf).first()
-    als_r = als_rmse(spark, sf).first()
+    als_r = _als_error(spark, sf, reviews).first()
     return report.combine(
         report.metrics(spark, "score_regression", {"rmse": reg["rmse"], "r2": reg["r2"]}),
         report.metrics(spark, "sentiment_classifier", {"accuracy": acc["accuracy"]}),
