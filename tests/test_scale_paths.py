@@ -322,6 +322,33 @@ def test_all_pairs_in_bounded_groups(spark, each):
     assert inner_product.all_pairs(table(users).limit(0), table(items), 5).count() == 0
 
 
+def test_all_pairs_sends_each_user_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    users, items = rng.uniform(0, 1, (300, 3)).astype(np.float32), rng.uniform(0, 1, (200, 3)).astype(np.float32)
+    items[100:150] = items[:50]  # ties, also across blocks
+    table = lambda m: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, features array<float>")
+    plans = []
+    for name in ("stage_table", "cache"):
+        def seen(df, *args, real=getattr(inner_product, name, None)):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return real(df, *args)
+        monkeypatch.setattr(inner_product, name, seen, raising=False)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    out = inner_product.all_pairs(table(users), table(items), 5, 40, 30)  # 8 tasks, 7 blocks of items
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    # before, each user was copied for every group of items, each item for every group of users, and lists per group were shuffled
+    assert not any(word in plan for plan in plans for word in ("CoGroup", "explode(sequence", "Window"))
+    assert max(plan.count("Repartition") for plan in plans) <= 1
+    got = {(r.user, r["rank"]): r.item for r in out.collect()}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    scores = np.matmul(users, items.T)
+    want = {(u, n + 1): i for u in range(300) for n, i in enumerate(sorted(range(200), key=lambda i: (-scores[u, i], i))[:5])}
+    assert got.keys() == want.keys() and all(abs(scores[u, got[u, n]] - scores[u, want[u, n]]) < 1e-6 for u, n in want)
+    assert all(len({got[u, n] for n in range(1, 6)}) == 5 for u in range(300))
+    few = inner_product.all_pairs(table(users), table(items[:3]), 5, 40, 2)  # fewer than k: all of them
+    assert few.count() == 900 and few.where("rank > 3").count() == 0
+
+
 def test_recommend_for_all_forms_no_cross_join(spark):
     train = spark.createDataFrame([(float(u), float(i), float((u * i) % 5 + 1)) for u in range(9) for i in range(8)],
                                   "user_index double, item_index double, rating double")
